@@ -5,50 +5,41 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+S, L, MONEY, TEXTS = T.StringType(), T.LongType(), T.DecimalType(16, 2), T.MapType(T.StringType(), T.StringType())
 
 
-PAGE_LOG = _struct(
-    "common struct<mid:string, vc:string, ch:string, ar:string, is_new:string>, "
-    "page struct<page_id:string, last_page_id:string, item:string, item_type:string, during_time:bigint>, "
-    "displays array<struct<item:string, item_type:string>>, "
-    "start string, ts bigint"
-)
-
-CHANGE = _struct(
-    "database string, tableName string, before map<string,string>, after map<string,string>, type string"
-)
+def record(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
-FLAT_CHANGE = _struct("operation string, data map<string,string>, database string, table string")
 
-ROUTING = _struct(
-    "sourceTable string, operateType string, sinkType string, sinkTable string, "
-    "sinkColumns string, sinkPk string, sinkExtend string"
+PAGE_LOG = record(
+    common=record(mid=S, vc=S, ch=S, ar=S, is_new=S),
+    page=record(page_id=S, last_page_id=S, item=S, item_type=S, during_time=L),
+    displays=T.ArrayType(record(item=S, item_type=S)),
+    start=S,
+    ts=L,
 )
 
-ORDER_INFO = _struct(
-    "id bigint, province_id bigint, order_status string, user_id bigint, total_amount decimal(16,2), "
-    "activity_reduce_amount decimal(16,2), coupon_reduce_amount decimal(16,2), "
-    "original_total_amount decimal(16,2), feight_fee decimal(16,2), expire_time string, "
-    "create_time string, operate_time string"
-)
+CHANGE = record(database=S, tableName=S, before=TEXTS, after=TEXTS, type=S)
+FLAT_CHANGE = record(operation=S, data=TEXTS, database=S, table=S)
+ROUTING = record(sourceTable=S, operateType=S, sinkType=S, sinkTable=S, sinkColumns=S, sinkPk=S, sinkExtend=S)
 
-ORDER_DETAIL = _struct(
-    "id bigint, order_id bigint, sku_id bigint, order_price decimal(16,2), sku_num bigint, sku_name string, "
-    "create_time string, split_total_amount decimal(16,2), split_activity_amount decimal(16,2), "
-    "split_coupon_amount decimal(16,2)"
+ORDER_INFO = record(
+    id=L, province_id=L, order_status=S, user_id=L, total_amount=MONEY, activity_reduce_amount=MONEY,
+    coupon_reduce_amount=MONEY, original_total_amount=MONEY, feight_fee=MONEY, expire_time=S, create_time=S,
+    operate_time=S,
 )
-
-PAYMENT_INFO = _struct(
-    "id bigint, order_id bigint, user_id bigint, total_amount decimal(16,2), subject string, "
-    "payment_type string, create_time string, callback_time string"
+ORDER_DETAIL = record(
+    id=L, order_id=L, sku_id=L, order_price=MONEY, sku_num=L, sku_name=S, create_time=S, split_total_amount=MONEY,
+    split_activity_amount=MONEY, split_coupon_amount=MONEY,
 )
-
-CART_INFO = _struct("sku_id bigint, create_time string")
+PAYMENT_INFO = record(
+    id=L, order_id=L, user_id=L, total_amount=MONEY, subject=S, payment_type=S, create_time=S, callback_time=S,
+)
+CART_INFO = record(sku_id=L, create_time=S)
 FAVOR_INFO = CART_INFO
-REFUND_INFO = _struct("order_id bigint, sku_id bigint, refund_amount decimal(16,2), create_time string")
-COMMENT_INFO = _struct("sku_id bigint, appraise string, create_time string")
+REFUND_INFO = record(order_id=L, sku_id=L, refund_amount=MONEY, create_time=S)
+COMMENT_INFO = record(sku_id=L, appraise=S, create_time=S)
 
 # Column order of the stats tables, which positional sinks rely on.
 VISITOR_STATS = [

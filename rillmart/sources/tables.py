@@ -22,15 +22,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return zoned(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int = 64) -> DataFrame:
-    """The same Parquet table as a stream of its files."""
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return zoned(
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(sf_dir)
-    )
+def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int | None = None) -> DataFrame:
+    """The same Parquet table as a stream of its files.
+
+    By default all files present make one batch.  Limit the files per batch only
+    where they lie in time order: a later batch behind the watermark is late data.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    # As a glob the path may be a folder or a single file; a plain file is refused by the stream reader.
+    return zoned(reader.parquet(f"{sf_dir}/{name}.parque[t]"))
 
 
 def read_jdbc(spark: SparkSession, url: str, table_or_query: str, camel: bool = False, **options: str) -> DataFrame:

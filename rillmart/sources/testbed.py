@@ -251,13 +251,13 @@ def dim_category3(spark: SparkSession, sf_dir: str) -> DataFrame:
         _type_id("p_type").alias("id"), F.col("p_type").alias("name")).distinct()
 
 
-def change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw change records (topic, op, before, after, seq) of four tables.
+def change_records(spark: SparkSession, sf_dir: str, read=read_table) -> DataFrame:
+    """Raw change records (topic, op, before, after, seq) of four tables, as a stream with ``read=stream_table``.
 
     Customers are read, every third is then updated and every seventh deleted;
     orders and parts are created; suppliers are read.
     """
-    customer = read_table(spark, sf_dir, "customer")
+    customer = read(spark, sf_dir, "customer")
     moved = customer.filter(F.col("c_custkey") % 3 == 0)
     was = row_map(customer)
     now = F.transform_values(was, lambda k, v: F.when(k == "c_mktsegment", "UPDATED").otherwise(v))
@@ -268,7 +268,7 @@ def change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         return df.select(F.lit(f"binlog.shop.{table}").alias("topic"), F.lit(op).alias("op"),
                          before.alias("before"), after.alias("after"), F.lit(seq).alias("seq"))
 
-    orders, part, supplier = (read_table(spark, sf_dir, t) for t in ("orders", "part", "supplier"))
+    orders, part, supplier = (read(spark, sf_dir, t) for t in ("orders", "part", "supplier"))
     orders = orders.withColumn("o_orderdate", stamp("o_orderdate")).withColumn("o_totalprice", money("o_totalprice"))
     parts = [
         records(customer, "customer", "READ", 1, none, was),

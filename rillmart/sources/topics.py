@@ -12,11 +12,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def file_topic(spark: SparkSession, path: str, stream: bool = True, files_per_batch: int = 256) -> DataFrame:
-    """Lines of a folder as rows ``value``; whole lines, whatever their length."""
+def file_topic(spark: SparkSession, path: str, stream: bool = True, files_per_batch: int | None = None) -> DataFrame:
+    """Lines of a folder as rows ``value``; whole lines, whatever their length.
+
+    Limit the files per batch only where they arrive in time order.
+    """
     if not stream:
         return spark.read.text(path)
-    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
+    reader = spark.readStream
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.text(path)
 
 
 def kafka_topic(spark: SparkSession, servers: str, topics: str, starting: str = "latest",

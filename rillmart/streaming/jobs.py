@@ -5,21 +5,50 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..session import new_folder, streaming_session
 from ..sinks.topics import to_topic
 
 
-def drain(spark: SparkSession, build: Callable[[SparkSession], DataFrame], label: str,
-          state_partitions: int | None = None, folder: str | None = None) -> DataFrame:
-    """Run a stream until its input is used up and return what it appended.
+class Stages:
+    """A chain of streaming jobs that hand records on through Parquet topics.
 
-    The stream runs in a sibling session with settings of its own; checkpoint
-    and output lie in the shared folder.  Windows and timers that the watermark
-    has not passed stay open, as they would in a running job.
+    All jobs run in one sibling session with streaming settings; topics and
+    checkpoints lie below one folder in shared storage.  Windows and timers the
+    watermark has not passed stay open, as they would in a running job.
     """
-    home = folder or new_folder(spark, label)
-    stream = build(streaming_session(spark, state_partitions))
-    query = to_topic(stream, f"{home}/out", f"{home}/checkpoint", once=True)
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{home}/out")
+
+    def __init__(self, spark: SparkSession, label: str, folder: str | None = None,
+                 state_partitions: int | None = None) -> None:
+        self.reader = spark
+        self.session = streaming_session(spark, state_partitions)
+        self.folder = folder or new_folder(spark, label)
+        self.schemas: dict[str, T.StructType] = {}
+
+    def path(self, topic: str) -> str:
+        return f"{self.folder}/{topic}"
+
+    def checkpoint(self, topic: str) -> str:
+        return f"{self.folder}/checkpoints/{topic}"
+
+    def run(self, topic: str, stream: DataFrame) -> None:
+        """Take in all there is and append it to a topic."""
+        self.schemas[topic] = stream.schema
+        to_topic(stream, self.path(topic), self.checkpoint(topic), once=True).awaitTermination()
+
+    def stream(self, topic: str) -> DataFrame:
+        """A finished stage's topic as the input of the next."""
+        return self.session.readStream.schema(self.schemas[topic]).parquet(self.path(topic))
+
+    def table(self, topic: str) -> DataFrame:
+        """What a stage wrote, as a table."""
+        return self.reader.read.schema(self.schemas[topic]).parquet(self.path(topic))
+
+
+def drain(spark: SparkSession, build: Callable[[SparkSession], DataFrame], label: str,
+          folder: str | None = None) -> DataFrame:
+    """Run one streaming job until its input is used up and return what it appended."""
+    stages = Stages(spark, label, folder)
+    stages.run("out", build(stages.session))
+    return stages.table("out")
