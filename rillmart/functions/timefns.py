@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
@@ -35,8 +35,24 @@ def stamp(ts: Column | str) -> Column:
 
 
 def parse_stamp(text: Column | str) -> Column:
-    """Text -> TIMESTAMP, NULL where the text is no time."""
-    return F.try_to_timestamp(col(text), F.lit(STAMP))
+    """Text -> TIMESTAMP, NULL where the text is no time of this form.
+
+    A guarded cast: the same result as parsing with the pattern at a fraction of
+    the cost per row.
+    """
+    t = col(text)
+    formed = (F.length(t) == len(STAMP)) & (F.substring(t, 11, 1) == " ")
+    return F.when(formed, t.try_cast("timestamp"))
+
+
+def moment(df: DataFrame, text: str) -> Column:
+    """The time a text column such as ``create_time`` holds.
+
+    Records typed at ingestion carry it as a TIMESTAMP beside the text
+    (``create_at``); only where that is missing is the text read.
+    """
+    typed = text.removesuffix("_time") + "_at"
+    return F.col(typed) if typed in df.columns else parse_stamp(text)
 
 
 def parse_stamp_at(text: Column | str, offset: str) -> Column:

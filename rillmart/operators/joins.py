@@ -29,7 +29,7 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     l = left.withColumn("_ls", F.explode(slices))
     r = right.withColumn("_rs", F.floor(F.unix_micros(right_time) / width))
     return l.join(
-        r,
+        r.hint("merge"),
         (F.col(left_key) == F.col(right_key)) & (F.col("_ls") == F.col("_rs"))
         & (F.col(right_time) >= F.col(left_time) + interval(lower))
         & (F.col(right_time) <= F.col(left_time) + interval(upper)),

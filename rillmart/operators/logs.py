@@ -24,25 +24,31 @@ def first_claims(log: DataFrame, order_by: tuple[str, ...] = ORDER) -> DataFrame
 
 
 def repair_new_flag(log: DataFrame, claims: DataFrame | None = None,
-                    order_by: tuple[str, ...] = ORDER) -> DataFrame:
+                    order_by: tuple[str, ...] = ORDER, split: bool = True) -> DataFrame:
     """Only a visitor's first claim of ``is_new = '1'`` keeps it, later ones become ``'0'``.
 
     ``order_by`` must identify a record of a visitor.  Claiming records meet the
     first claims on their whole identity and not on the visitor alone, so the
-    records of a very busy visitor spread over all tasks; records that claim
-    nothing are not shuffled at all.  ``claims`` may hold the first claims of a
-    larger log that ``log`` is a part of.
+    records of a very busy visitor spread over all tasks.  ``claims`` may hold the
+    first claims of a larger log that ``log`` is a part of.
+
+    With ``split`` records that claim nothing are read on their own and not
+    shuffled at all; without it the log is computed only once, which pays where
+    it is the result of other work.
     """
     claims = first_claims(log, order_by) if claims is None else claims
     same = F.col("common.mid").eqNullSafe(F.col("_mid"))
     for c in order_by:
         same = same & (F.col(c) == F.col(f"_{c}"))
-    flag = F.when(F.col(f"_{order_by[0]}").isNotNull(), "1").otherwise("0")
+    kept = F.col(f"_{order_by[0]}").isNotNull()
+    flag = F.when(kept, "1").when(F.col("common.is_new").eqNullSafe("1"), "0").otherwise(F.col("common.is_new"))
     repaired = (
-        claims_new(log).join(claims, same, "left")
+        (claims_new(log) if split else log).join(claims, same, "left")
         .withColumn("common", F.col("common").withField("is_new", flag))
         .select(*log.columns)
     )
+    if not split:
+        return repaired
     silent = log.filter(~F.col("common.is_new").eqNullSafe("1"))
     return repaired.unionByName(silent)
 

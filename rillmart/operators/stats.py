@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import codes, schemas
 from ..functions.numbers import MONEY
 from ..functions.text import explode_words
-from ..functions.timefns import event_time, parse_stamp, stamp, to_millis
+from ..functions.timefns import event_time, moment, stamp, to_millis
 from .wide import Dims, with_product
 
 WINDOW = "10 seconds"
@@ -88,7 +88,7 @@ def product_rows(pages: DataFrame | None = None, favor: DataFrame | None = None,
                  orders: DataFrame | None = None, payments: DataFrame | None = None,
                  refunds: DataFrame | None = None, comments: DataFrame | None = None) -> DataFrame:
     """Clicks, displays, favors, carts, orders, payments, refunds and comments in one shape."""
-    one, created = F.lit(1), parse_stamp("create_time")
+    one = F.lit(1)
     sku = F.col("sku_id")
     parts = []
     if pages is not None:
@@ -99,21 +99,22 @@ def product_rows(pages: DataFrame | None = None, favor: DataFrame | None = None,
             F.col("d.item_type").eqNullSafe("sku_id"))
         parts.append(_product_shape(shown, F.col("d.item").try_cast("bigint"), event_time("ts"), display_ct=one))
     if favor is not None:
-        parts.append(_product_shape(favor, sku, created, favor_ct=one))
+        parts.append(_product_shape(favor, sku, moment(favor, "create_time"), favor_ct=one))
     if cart is not None:
-        parts.append(_product_shape(cart, sku, created, cart_ct=one))
+        parts.append(_product_shape(cart, sku, moment(cart, "create_time"), cart_ct=one))
     if orders is not None:
-        parts.append(_product_shape(orders, sku, created, "order", F.col("order_id"),
+        parts.append(_product_shape(orders, sku, moment(orders, "create_time"), "order", F.col("order_id"),
                                     order_sku_num=F.col("sku_num"), order_amount=F.col("split_total_amount")))
     if payments is not None:
-        parts.append(_product_shape(payments, sku, parse_stamp("payment_create_time"), "paid", F.col("order_id"),
+        parts.append(_product_shape(payments, sku, moment(payments, "payment_create_time"), "paid", F.col("order_id"),
                                     payment_amount=F.col("split_total_amount")))
     if refunds is not None:
-        parts.append(_product_shape(refunds, sku, created, "refund", F.col("order_id"),
+        parts.append(_product_shape(refunds, sku, moment(refunds, "create_time"), "refund", F.col("order_id"),
                                     refund_amount=F.col("refund_amount")))
     if comments is not None:
         good = F.when(F.col("appraise").eqNullSafe(codes.APPRAISE_GOOD), 1).otherwise(0)
-        parts.append(_product_shape(comments, sku, created, comment_ct=one, good_comment_ct=good))
+        parts.append(_product_shape(comments, sku, moment(comments, "create_time"),
+                                    comment_ct=one, good_comment_ct=good))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -166,7 +167,7 @@ group by window, province_id, province_name, province_area_code, province_iso_co
 
 def province_stats(wide: DataFrame, window: str = WINDOW, delay: str = "2 seconds") -> DataFrame:
     """Order amount and number of distinct orders per window and province."""
-    timed = _watermarked(wide.drop("event_ts").withColumn("rt", parse_stamp("create_time")), delay)
+    timed = _watermarked(wide.withColumn("rt", moment(wide, "create_time")), delay)
     return wide.sparkSession.sql(PROVINCE_SQL.format(window=window), wide=timed).select(*schemas.PROVINCE_STATS)
 
 
@@ -176,7 +177,7 @@ def province_rows(wide: DataFrame) -> DataFrame:
         F.lit("").alias("stt"), F.lit("").alias("edt"), "province_id", "province_name", "province_area_code",
         "province_iso_code", "province_3166_2_code", F.col("split_total_amount").alias("order_amount"),
         F.lit(1).cast("bigint").alias("order_count"),
-        to_millis(parse_stamp("create_time")).alias("ts"))
+        to_millis(moment(wide, "create_time")).alias("ts"))
 
 
 # --- keywords ---------------------------------------------------------------

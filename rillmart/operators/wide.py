@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import MONEY
-from ..functions.timefns import age_years, parse_stamp, stamp_date, stamp_hour, to_millis
+from ..functions.timefns import age_years, moment, stamp_date, stamp_hour, to_millis
 from .joins import dim_join, flat_sku, interval_join
 
 ORDER_LOWER, ORDER_UPPER = timedelta(seconds=-5), timedelta(seconds=5)
@@ -37,16 +37,16 @@ def order_times(orders: DataFrame) -> DataFrame:
     return (
         orders.withColumn("create_date", stamp_date("create_time"))
         .withColumn("create_hour", stamp_hour("create_time"))
-        .withColumn("create_ts", to_millis(parse_stamp("create_time")))
+        .withColumn("create_ts", to_millis(moment(orders, "create_time")))
     )
 
 
 def detail_times(details: DataFrame) -> DataFrame:
-    return details.withColumn("create_ts", to_millis(parse_stamp("create_time")))
+    return details.withColumn("create_ts", to_millis(moment(details, "create_time")))
 
 
 def _timed(df: DataFrame, text: str, name: str, delay: str) -> DataFrame:
-    out = df.withColumn(name, parse_stamp(text))
+    out = df.withColumn(name, moment(df, text))
     return out.withWatermark(name, delay) if df.isStreaming else out
 
 
@@ -65,14 +65,14 @@ def join_order_detail(orders: DataFrame, details: DataFrame, lower: timedelta =
     """Orders with their details created within the bounds, not yet enriched.
 
     Fields the record has but the join does not fill (expire_time, operate_time,
-    split_feight_fee) are NULL.  The event time ``event_ts`` is the order's.
+    split_feight_fee) are NULL.  The event time ``create_at`` is the order's.
     """
     extra = [c for c in orders.columns if c.startswith(("user_", "province_")) and c not in ORDER_FIELDS]
-    o = _timed(order_times(orders), "create_time", "event_ts", delay).select(
-        F.col("id").alias("order_id"), *ORDER_FIELDS, *extra, "event_ts")
+    o = _timed(order_times(orders), "create_time", "create_at", delay).select(
+        F.col("id").alias("order_id"), *ORDER_FIELDS, *extra, "create_at")
     d = _timed(details, "create_time", "detail_ts", delay).select(
         F.col("id").alias("detail_id"), F.col("order_id").alias("detail_order_id"), *DETAIL_FIELDS, "detail_ts")
-    pairs = interval_join(o, d, "order_id", "detail_order_id", "event_ts", "detail_ts", lower, upper)
+    pairs = interval_join(o, d, "order_id", "detail_order_id", "create_at", "detail_ts", lower, upper)
     return (
         pairs.drop("detail_order_id", "detail_ts")
         .withColumn("expire_time", F.lit(None).cast("string"))
@@ -151,21 +151,22 @@ def payment_wide(payments: DataFrame, wide: DataFrame, lower: timedelta = PAY_LO
 
     Order id, user and total come from the payment, the rest from the wide row.
     ``arrival`` names a column whose time stands in for an unreadable one.  The
-    event time ``event_ts`` is the payment's.
+    event time ``payment_create_at`` is the payment's.
     """
     def timed(df: DataFrame, name: str) -> DataFrame:
-        when = parse_stamp("create_time")
+        when = moment(df, "create_time")
         if arrival and arrival in df.columns:
             when = F.coalesce(when, F.col(arrival))
         out = df.withColumn(name, when)
         return out.withWatermark(name, delay) if df.isStreaming else out
 
-    p = timed(payments, "event_ts").select(
+    p = timed(payments, "payment_create_at").select(
         F.col("id").alias("payment_id"), "order_id", "user_id", "total_amount", "subject", "payment_type",
-        F.col("create_time").alias("payment_create_time"), "callback_time", "event_ts")
-    w = timed(wide.drop("event_ts"), "wide_ts")
+        F.col("create_time").alias("payment_create_time"), "callback_time",
+        "payment_create_at")
+    w = timed(wide, "wide_ts")
     have = [c for c in WIDE_FIELDS if c in w.columns]
     w = w.select(F.col("order_id").alias("wide_order_id"), F.col("create_time").alias("order_create_time"),
                  *have, "wide_ts")
-    pairs = interval_join(p, w, "order_id", "wide_order_id", "event_ts", "wide_ts", lower, upper)
+    pairs = interval_join(p, w, "order_id", "wide_order_id", "payment_create_at", "wide_ts", lower, upper)
     return pairs.drop("wide_order_id", "wide_ts")

@@ -78,7 +78,7 @@ def parse_dirty_split(spark, sf):
 @query
 def json_roundtrip(spark, sf):
     """Order records written as JSON lines and read back typed."""
-    lines = parsing.to_json_lines(tb.order_info(spark, sf))
+    lines = parsing.to_json_lines(tb.order_info(spark, sf).drop("create_at"))
     return plain(parsing.parse_lines(lines, schemas.ORDER_INFO, ("id",))[0])
 
 
@@ -232,9 +232,9 @@ def order_shipment_window(spark, sf):
     """Orders with the details shipped 30 to 90 days after them, a dense interval join."""
     from datetime import timedelta
 
-    o = tb.order_info(spark, sf).select(F.col("id").alias("order_id"), tf.parse_stamp("create_time").alias("o_ts"))
+    o = tb.order_info(spark, sf).select(F.col("id").alias("order_id"), F.col("create_at").alias("o_ts"))
     d = tb.order_detail(spark, sf).select(
-        F.col("order_id").alias("d_order_id"), "sku_id", "split_total_amount", tf.parse_stamp("create_time").alias("d_ts"))
+        F.col("order_id").alias("d_order_id"), "sku_id", "split_total_amount", F.col("create_at").alias("d_ts"))
     pairs = interval_join(o, d, "order_id", "d_order_id", "o_ts", "d_ts", timedelta(days=30), timedelta(days=90))
     return plain(pairs.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("details"), F.sum("split_total_amount").alias("amount")))
@@ -242,12 +242,12 @@ def order_shipment_window(spark, sf):
 
 @query
 def order_wide(spark, sf):
-    return plain(_order_wide(spark, sf), "event_ts", "expire_time", "operate_time", "split_feight_fee")
+    return plain(_order_wide(spark, sf), "create_at", "expire_time", "operate_time", "split_feight_fee")
 
 
 @query
 def payment_wide(spark, sf):
-    return plain(_payment_wide(spark, sf), "event_ts", "split_feight_fee")
+    return plain(_payment_wide(spark, sf), "payment_create_at", "split_feight_fee")
 
 
 @query
@@ -521,7 +521,7 @@ def _stream_wide(spark, sf, label: str) -> Stages:
 @query
 def stream_payment_wide(spark, sf):
     """Orders, details and payments joined on streams, dimensions looked up."""
-    return plain(_stream_wide(spark, sf, "payment-wide").table("dwm_payment_wide"), "split_feight_fee")
+    return plain(_stream_wide(spark, sf, "payment-wide").table("dwm_payment_wide"), "payment_create_at", "split_feight_fee")
 
 
 @query

@@ -21,8 +21,8 @@ def visitor_inputs(log: DataFrame, within: timedelta) -> tuple[DataFrame, DataFr
     pages = logs.page_log(log)
     return (
         logs.repair_new_flag(pages, claims),
-        logs.repair_new_flag(visits.unique_visit(pages), claims),
-        logs.repair_new_flag(visits.user_jump(pages, within), claims),
+        logs.repair_new_flag(visits.unique_visit(pages), claims, split=False),
+        logs.repair_new_flag(visits.user_jump(pages, within), claims, split=False),
     )
 
 
@@ -56,9 +56,9 @@ def stream_visitor_stats(stages: Stages, log: DataFrame, within: timedelta, wind
 def stream_wide(stages: Stages, orders: DataFrame, details: DataFrame, payments: DataFrame, dims: wide.Dims, as_of,
                 order_bounds: tuple[timedelta, timedelta], pay_bounds: tuple[timedelta, timedelta]) -> None:
     """Orders with details and payments with orders, as topics ``dwm_order_wide`` and ``dwm_payment_wide``."""
-    stages.run("dwm_order_wide", wide.order_wide(orders, details, dims, as_of, *order_bounds).drop("event_ts"))
+    stages.run("dwm_order_wide", wide.order_wide(orders, details, dims, as_of, *order_bounds))
     stages.run("dwm_payment_wide", wide.payment_wide(
-        payments, stages.stream("dwm_order_wide"), *pay_bounds).drop("event_ts"))
+        payments, stages.stream("dwm_order_wide"), *pay_bounds))
 
 
 def dims_from(spark: SparkSession, sf_dir: str) -> wide.Dims:

@@ -37,16 +37,24 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_folder: str | None = None
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, one machine) is one made here.
+    Only on one machine, and only where none is named, is a folder made here; a
+    cluster has to name one.
     """
+    global _local_folder
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="rillmart-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if _local_folder is None:
+        _local_folder = tempfile.mkdtemp(prefix="rillmart-")
+    return _local_folder
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -2,7 +2,8 @@
 
 Each function maps the tables found in a folder to one record type of the
 warehouse.  They only project and join; they add no rows of their own, so the
-work grows with the tables.
+work grows with the tables.  Records with a ``create_time`` text carry the same
+time typed as ``create_at``.
 """
 
 from __future__ import annotations
@@ -104,6 +105,7 @@ def orders_of(orders: DataFrame, customers: DataFrame) -> DataFrame:
         money(F.lit(0)).alias("feight_fee"),
         none.cast("string").alias("expire_time"),
         stamp("o_orderdate").alias("create_time"),
+        F.col("o_orderdate").alias("create_at"),
         none.cast("string").alias("operate_time"),
     )
 
@@ -126,6 +128,7 @@ def details_of(lines: DataFrame) -> DataFrame:
         F.col("l_quantity").cast("bigint").alias("sku_num"),
         F.lit(None).cast("string").alias("sku_name"),
         stamp("l_shipdate").alias("create_time"),
+        F.col("l_shipdate").alias("create_at"),
         money("l_extendedprice").alias("split_total_amount"),
         money("l_discount").alias("split_activity_amount"),
         money("l_tax").alias("split_coupon_amount"),
@@ -143,7 +146,8 @@ def order_detail_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def payments_of(orders: DataFrame) -> DataFrame:
     """A payment for each order that is not open, up to 19 days after it."""
     lag = F.make_dt_interval(days=(F.col("o_orderkey") % 20).cast("int"))
-    paid = stamp(F.col("o_orderdate") + lag)
+    paid_at = F.col("o_orderdate") + lag
+    paid = stamp(paid_at)
     return orders.filter(F.col("o_orderstatus") != "O").select(
         (F.col("o_orderkey") + 1_000_000_000).alias("id"),
         F.col("o_orderkey").alias("order_id"),
@@ -152,6 +156,7 @@ def payments_of(orders: DataFrame) -> DataFrame:
         F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("subject"),
         F.col("o_orderpriority").alias("payment_type"),
         paid.alias("create_time"),
+        paid_at.alias("create_at"),
         paid.alias("callback_time"),
     )
 
@@ -170,13 +175,14 @@ def refund_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("sku_id"),
         money("l_extendedprice").alias("refund_amount"),
         stamp("l_shipdate").alias("create_time"),
+        F.col("l_shipdate").alias("create_at"),
     )
 
 
 def _sku_events(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    moved = F.col("ts") - F.make_ym_interval(F.lit(EVENT_SHIFT_YEARS))
+    moved = F.date_trunc("second", F.col("ts") - F.make_ym_interval(F.lit(EVENT_SHIFT_YEARS)))
     return read_table(spark, sf_dir, "events").filter(F.col("event_type") == kind).select(
-        (F.col("event_id") % 200).alias("sku_id"), stamp(moved).alias("create_time"), "value")
+        (F.col("event_id") % 200).alias("sku_id"), stamp(moved).alias("create_time"), moved.alias("create_at"), "value")
 
 
 def favor_info(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,7 +195,7 @@ def cart_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def comment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sku_events(spark, sf_dir, "error").select(
-        "sku_id", F.when(F.col("value") > 50, "1201").otherwise("1202").alias("appraise"), "create_time")
+        "sku_id", F.when(F.col("value") > 50, "1201").otherwise("1202").alias("appraise"), "create_time", "create_at")
 
 
 def dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ class Stages:
 
     def run(self, topic: str, stream: DataFrame) -> None:
         """Take in all there is and append it to a topic."""
-        self.schemas[topic] = stream.schema
+        self.schemas[topic] = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema.fields])
         to_topic(stream, self.path(topic), self.checkpoint(topic), once=True).awaitTermination()
 
     def stream(self, topic: str) -> DataFrame:
