@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,13 +28,31 @@ def words(text: Column | str, han_pairs: bool = False) -> Column:
     return F.concat(found, F.regexp_extract_all(lowered, F.lit(HAN_PAIR_PATTERN), F.lit(1)))
 
 
+def words_by(text: Column | str, tokenizer: Callable[[str], list[str]]) -> Column:
+    """Words by a tokenizer of one's own, run over Arrow batches; where it fails the whole text is one word."""
+    def split(texts: pd.Series) -> pd.Series:
+        def one(value):
+            if value is None:
+                return None
+            try:
+                return list(tokenizer(value))
+            except Exception:  # noqa: BLE001 - any tokenizer error leaves the text whole
+                return [value]
+
+        return texts.map(one)
+
+    return F.pandas_udf(split, "array<string>")(col(text))
+
+
 def explode_words(df: DataFrame, text: str, out: str = "word", han_pairs: bool = False,
-                  stop_words: DataFrame | None = None) -> DataFrame:
+                  stop_words: DataFrame | None = None,
+                  tokenizer: Callable[[str], list[str]] | None = None) -> DataFrame:
     """One row per word; texts without a word give no row.
 
     ``stop_words`` is a one-column table ``word`` of words to leave out.
     """
-    split = df.withColumn(out, F.explode(words(text, han_pairs))).drop(text)
+    found = words_by(text, tokenizer) if tokenizer else words(text, han_pairs)
+    split = df.withColumn(out, F.explode(found)).drop(text)
     if stop_words is None:
         return split
     return split.join(stop_words.select(F.col("word").alias(out)), out, "left_anti")

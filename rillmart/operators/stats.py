@@ -191,9 +191,9 @@ def searches(pages: DataFrame, item_type: str | None = None) -> DataFrame:
 
 
 def keyword_stats(search: DataFrame, window: str = WINDOW, delay: str = "2 seconds", source: str = "search",
-                  han_pairs: bool = False, stop_words: DataFrame | None = None) -> DataFrame:
+                  han_pairs: bool = False, stop_words: DataFrame | None = None, tokenizer=None) -> DataFrame:
     """How often each word was searched for per window."""
-    split = explode_words(_watermarked(search, delay), "keywords", "keyword", han_pairs, stop_words)
+    split = explode_words(_watermarked(search, delay), "keywords", "keyword", han_pairs, stop_words, tokenizer)
     return (
         split.groupBy(F.window("rt", window), "keyword")
         .agg(F.count(F.lit(1)).alias("ct"), F.min(F.unix_millis("rt")).alias("ts"))

@@ -21,7 +21,7 @@ from ..sinks import dims as dim_sink
 from ..sinks.topics import to_routed_topics
 from ..sources import testbed as tb
 from ..sources.tables import read_table, stream_table
-from ..streaming import stateful
+from ..streaming import refresh, stateful
 from ..streaming.jobs import Stages
 from . import layers
 
@@ -550,18 +550,33 @@ def stream_keyword_stats(spark, sf):
     return stages.table("keyword_stats")
 
 
-@query
-def stream_dim_upsert(spark, sf):
-    """Customer changes routed by config and upserted into a dimension table, batch by batch."""
-    stages = Stages(spark, "dim-upsert")
+def _db_split(spark, sf) -> Stages:
+    """Change records of four tables routed by config into facts and dimension tables."""
+    stages = Stages(spark, "db-split")
     s = stages.session
     env = parsing.change_envelope(tb.change_records(s, sf, stream_table))
-    routed = routing.route_changes(env, tb.routing(s))
-    root = stages.path("dims")
-    dim_sink.create_from_config(spark, root, tb.routing(spark))
-    dim_sink.stream_dims(routed, root, {"dim_customer": (DIM_COLUMNS, "c_custkey")}, stages.checkpoint("dims"),
-                         "seq", once=True).awaitTermination()
-    return dim_sink.read_dim(spark, f"{root}/dim_customer", "c_custkey").select(*DIM_COLUMNS)
+    refresh.db_split(env, lambda: tb.routing(s), stages.path("facts"), stages.path("dims"), stages.checkpoint("split"),
+                     "seq", once=True).awaitTermination()
+    return stages
+
+
+@query
+def stream_dim_upsert(spark, sf):
+    """Customer changes upserted into their dimension table, batch by batch."""
+    stages = _db_split(spark, sf)
+    return dim_sink.read_dim(spark, f"{stages.path('dims')}/dim_customer", "c_custkey").select(*DIM_COLUMNS)
+
+
+@query
+def stream_route_fact(spark, sf):
+    """Order changes written to their fact topic, read back."""
+    stages = _db_split(spark, sf)
+    lines = spark.read.schema("value string, batch int, sink_table string").text(stages.path("facts"))
+    kept = lines.select("sink_table", F.from_json("value", "map<string,string>").alias("r"))
+    return kept.select(
+        "sink_table", F.size("r").alias("n_columns"), F.col("r")["o_orderkey"].cast("bigint").alias("o_orderkey"),
+        F.col("r")["o_custkey"].cast("bigint").alias("o_custkey"),
+        F.col("r")["o_totalprice"].cast("double").alias("o_totalprice"), F.col("r")["o_orderdate"].alias("o_orderdate"))
 
 
 @query

@@ -286,6 +286,11 @@ from customer"""
 oracle("dim_upsert", _DIM)
 oracle("stream_dim_upsert", _DIM)
 
+oracle("stream_route_fact", """
+select 'dwd_orders' as sink_table, 4 as n_columns, key as o_orderkey, cust as o_custkey, price as o_totalprice,
+       dt as o_orderdate
+from changes where t = 'orders'""")
+
 # --- app log ------------------------------------------------------------------------
 
 oracle("new_flag_repair", "select event_id, mid, is_new, ts from fixed")

@@ -26,30 +26,48 @@ ORDER = ["ts", "event_id"]
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _in_order(rows):
-    return sorted(rows, key=lambda r: (r.ts, r.event_id))
+SALTS = 8
+
+
+def _place(row):
+    return row.ts, row.event_id
 
 
 class FirstClaim(StatefulProcessor):
-    """Marks a visitor's first claiming record; the state never expires, as a visitor is new only once."""
+    """Marks the first candidate of a key; the state never expires, as a visitor is new only once.
+
+    Rows pass one by one: whichever of two is later cannot be the first.  Rows
+    that are no candidates any more pass unchanged.
+    """
 
     def init(self, handle) -> None:
         self.claimed = handle.getValueState("claimed", "claimed boolean")
 
     def handleInputRows(self, key, rows, timerValues):
-        seen = self.claimed.exists()
-        for row in _in_order(rows):
-            yield Row(record=row.record, first=not seen)
-            if not seen:
-                self.claimed.update((True,))
-                seen = True
+        def out(row, first):
+            return Row(mid=row.mid, ts=row.ts, event_id=row.event_id, record=row.record, salt=row.salt, first=first)
+
+        best, seen = None, None
+        for row in rows:
+            if row.first and seen is None:
+                seen = self.claimed.exists()
+            if seen or not row.first:
+                yield out(row, False)
+            elif best is None:
+                best = row
+            else:
+                best, later = (best, row) if _place(best) <= _place(row) else (row, best)
+                yield out(later, False)
+        if best is not None:
+            self.claimed.update((True,))
+            yield out(best, True)
 
     def close(self) -> None:
         pass
 
 
 class FirstOfDay(StatefulProcessor):
-    """First record per (visitor, day); the state goes when the watermark has passed the day."""
+    """First record of a key within a day; the state goes when the watermark has passed the day."""
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -60,10 +78,10 @@ class FirstOfDay(StatefulProcessor):
             for _ in rows:
                 pass
             return
-        first = min(rows, key=lambda r: (r.ts, r.event_id))
+        first = min(rows, key=_place)
         self.seen.update((True,))
         self.handle.registerTimer((first.ts // DAY_MILLIS + 2) * DAY_MILLIS)
-        yield Row(record=first.record)
+        yield Row(mid=first.mid, day=first.day, ts=first.ts, event_id=first.event_id, rt=first.rt, record=first.record)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.seen.clear()
@@ -126,27 +144,48 @@ def _record_type(log: DataFrame) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in log.schema.fields])
 
 
-def repair_new_flag_stream(log: DataFrame) -> DataFrame:
-    """Stream form of the flag repair; records that claim nothing bypass the state."""
-    keyed = claims_new(log).select(F.col("common.mid").alias("mid"), *ORDER, _record(log))
-    out = T.StructType([T.StructField("record", _record_type(log)), T.StructField("first", T.BooleanType())])
-    marked = keyed.groupBy("mid").transformWithState(
-        statefulProcessor=FirstClaim(), outputStructType=out, outputMode="Append", timeMode="None")
+def _salt(salts: int):
+    return F.pmod(F.xxhash64("event_id"), F.lit(salts)).cast("int").alias("salt")
+
+
+def repair_new_flag_stream(log: DataFrame, salts: int = SALTS) -> DataFrame:
+    """Stream form of the flag repair; records that claim nothing bypass the state.
+
+    A visitor's claims are spread over ``salts`` keys first.  Only the first of
+    each can be the visitor's first: these meet under the visitor's own key, at
+    most ``salts`` of them ever, while the others keep to their salted keys.  So
+    a very busy visitor is never one task.
+    """
+    keyed = claims_new(log).select(
+        F.col("common.mid").alias("mid"), *ORDER, _record(log), _salt(salts), F.lit(True).alias("first"))
+    out = T.StructType([T.StructField(f.name, f.dataType) for f in keyed.schema.fields])
+
+    def mark(df: DataFrame, slot) -> DataFrame:
+        return df.withColumn("slot", slot).groupBy("mid", "slot").transformWithState(
+            statefulProcessor=FirstClaim(), outputStructType=out, outputMode="Append", timeMode="None")
+
+    spread = mark(keyed, F.col("salt"))
+    decided = mark(spread, F.when(F.col("first"), -1).otherwise(F.col("salt")))
     flag = F.when(F.col("first"), "1").otherwise("0")
-    repaired = marked.select("record.*", "first").withColumn(
+    repaired = decided.select("record.*", "first").withColumn(
         "common", F.col("common").withField("is_new", flag)).select(*log.columns)
     return repaired.unionByName(log.filter(~F.col("common.is_new").eqNullSafe("1")))
 
 
-def unique_visit_stream(log: DataFrame, delay: str = "24 hours") -> DataFrame:
-    """Stream form of the daily unique visit: one record per (visitor, day)."""
+def unique_visit_stream(log: DataFrame, delay: str = "24 hours", salts: int = SALTS) -> DataFrame:
+    """Stream form of the daily unique visit: one record per (visitor, day), salted like the flag repair."""
     timed = entries(log).withColumn("rt", event_time("ts")).withWatermark("rt", delay)
     keyed = timed.select(
         F.col("common.mid").alias("mid"), F.to_date("rt").cast("string").alias("day"), *ORDER, "rt", _record(log))
-    out = T.StructType([T.StructField("record", _record_type(log))])
-    return keyed.groupBy("mid", "day").transformWithState(
-        statefulProcessor=FirstOfDay(), outputStructType=out, outputMode="Append", timeMode="EventTime",
-    ).select("record.*")
+    out = T.StructType([T.StructField(f.name, f.dataType) for f in keyed.schema.fields])
+
+    def first_of(df: DataFrame, *keys: str) -> DataFrame:
+        return df.groupBy(*keys).transformWithState(
+            statefulProcessor=FirstOfDay(), outputStructType=out, outputMode="Append", timeMode="EventTime",
+            eventTimeColumnName="rt")
+
+    spread = first_of(keyed.withColumn("salt", _salt(salts)), "mid", "day", "salt")
+    return first_of(spread, "mid", "day").select("record.*")
 
 
 def entry_fates_stream(log: DataFrame, within: timedelta = WITHIN, delay: str = "2 seconds",

@@ -368,6 +368,15 @@ def test_words(spark):
     assert {r.word for r in text.explode_words(df, "t", stop_words=stop).collect()} == {"手", "机", "x10"}
 
 
+def test_own_tokenizer(spark):
+    def halves(value):
+        left, right = value.split("-")
+        return [left, right]
+
+    df = spark.createDataFrame([("a-b",), ("whole",), (None,)], "t string")
+    assert [r.word for r in text.explode_words(df, "t", tokenizer=halves).collect()] == ["a", "b", "whole"]
+
+
 def test_names():
     assert text.snake_to_camel("ORDER_ID") == "orderId" and text.snake_to_camel("a_b1_c") == "aB1C"
 

@@ -9,7 +9,11 @@ from rillmart.operators import logs, stats, visits, wide
 from rillmart.plans import layers
 from rillmart.sinks.topics import start
 from rillmart.sources import testbed as tb
-from rillmart.streaming import stateful
+from rillmart import schemas
+from rillmart.operators import joins, parsing
+from rillmart.sinks import dims
+from rillmart.sources.topics import file_topic
+from rillmart.streaming import refresh, stateful
 from rillmart.streaming.jobs import Stages
 
 from .conftest import SF_DIR
@@ -194,3 +198,70 @@ def test_foreach_batch_sink_runs_with_a_checkpoint(spark, feed, tmp_path):
     q = start(stream.writeStream.foreachBatch(lambda df, i: seen.append((i, df.count()))), str(tmp_path / "cp"), once=True)
     q.awaitTermination()
     assert seen == [(0, 1)]
+
+
+def change_files(folder, n, *rows):
+    import json
+
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{n}.txt", "w") as f:
+        for table, kind, seq, after in rows:
+            f.write(json.dumps({"database": "shop", "tableName": table, "before": {}, "after": after, "type": kind,
+                                "seq": seq}) + "\n")
+
+
+def test_db_split_follows_the_config(spark, tmp_path):
+    """A config row added between batches routes from then on, and its table is made."""
+    from pyspark.sql import types as T
+
+    config_rows = [("orders", "insert", "kafka", "dwd_orders", "id", None, None)]
+    schema = T.StructType([*schemas.CHANGE.fields, T.StructField("seq", T.LongType())])
+    folder = str(tmp_path / "in")
+
+    def go():
+        env, _ = parsing.parse_lines(file_topic(spark, folder), schema)
+        refresh.db_split(env, lambda: spark.createDataFrame(config_rows, schemas.ROUTING), f"{tmp_path}/facts",
+                         f"{tmp_path}/dims", f"{tmp_path}/cp", "seq", once=True).awaitTermination()
+
+    change_files(folder, 1, ("orders", "insert", 1, {"id": "1", "x": "9"}), ("user", "insert", 2, {"id": "5", "n": "a"}))
+    go()
+    assert not os.path.exists(f"{tmp_path}/dims")
+    config_rows.append(("user", "insert", "hbase", "dim_user", "id,n", None, None))
+    config_rows.append(("user", "update", "hbase", "dim_user", "id,n", None, None))
+    change_files(folder, 2, ("user", "insert", 3, {"id": "6", "n": "b"}), ("user", "update", 4, {"id": "6", "n": "c"}),
+                 ("user", "delete", 5, {}))
+    go()
+    assert [tuple(r) for r in dims.read_dim(spark, f"{tmp_path}/dims/dim_user", "id").collect()] == [("6", "c")]
+    facts = spark.read.text(f"{tmp_path}/facts")
+    assert [(r.value, r.sink_table) for r in facts.collect()] == [('{"id":"1"}', "dwd_orders")]
+
+
+def test_enrich_sees_the_newest_dimension(spark, feed, tmp_path):
+    dims.create_dim(spark, f"{tmp_path}/dim", "id,name")
+    for batch, name in enumerate(("old", "new")):
+        dims.append_changes(spark.createDataFrame([("a", name, 1)], "id string, name string, seq int"),
+                            f"{tmp_path}/dim", batch, "id", "seq")
+        feed.rows(("a", T0 + batch, None))
+        stream = feed.stream(spark).select("ts", F.col("common.mid").alias("mid"))
+        refresh.enrich(stream, lambda: dims.read_dim(spark, f"{tmp_path}/dim", "id"),
+                       lambda df, dim: joins.dim_join(df, dim, "mid", {"name": "name"}), f"{tmp_path}/out",
+                       f"{tmp_path}/cp", once=True).awaitTermination()
+    got = sorted((r.ts - T0, r.name) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got == [(0, "old"), (1, "new")]
+
+
+def test_keep_running_starts_again(spark, feed, tmp_path):
+    feed.rows(("a", T0, None))
+    tries = []
+
+    def flaky(df, batch_id):
+        tries.append(batch_id)
+        if len(tries) < 3:
+            raise ValueError("not yet")
+
+    refresh.keep_running(lambda: start(feed.stream(spark).writeStream.foreachBatch(flaky), f"{tmp_path}/cp", once=True),
+                         attempts=3, pause_seconds=0)
+    assert tries == [0, 0, 0]
+    with pytest.raises(Exception):
+        refresh.keep_running(lambda: start(feed.stream(spark).writeStream.foreachBatch(lambda d, i: 1 / 0),
+                                           f"{tmp_path}/cp2", once=True), attempts=1, pause_seconds=0)
