@@ -2,6 +2,9 @@
 
 Written apart from the DataFrame code and kept simple: windows, self-joins and
 distinct counts as SQL states them, without regard to cost.
+
+Epoch milliseconds are whole microseconds divided by 1000 and cut off;
+``epoch_ms`` is not used because it rounds in some versions of the engine.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ CTE["log"] = """
          cast(round(value * 1000) as bigint) as during_time,
          cast(json_extract_string(props, '$.k') as int) % 4 as shown,
          case when event_id % 17 = 0 then 'icon' end as start,
-         epoch_ms(ts) as ts, ts as ets
+         (epoch_us(ts) // 1000) as ts, ts as ets
   from events"""
 
 CTE["fixed"] = """
@@ -183,7 +186,7 @@ def _product_cte(rows: list[str], width: str = "30 days") -> str:
     amounts = ", ".join(f"sum(cast({m} as decimal(26,2))) as {m}" for m in _ZERO if m.endswith("amount"))
     return f"""
   select {_win(width, 't')}, sku_id, {counts}, {amounts}, count(distinct o1) as order_ct,
-         count(distinct o2) as paid_order_ct, count(distinct o3) as refund_order_ct, epoch_ms(min(t)) as ts
+         count(distinct o2) as paid_order_ct, count(distinct o3) as refund_order_ct, (epoch_us(min(t)) // 1000) as ts
   from ({' union all '.join(rows)}) group by stt, edt, sku_id"""
 
 
@@ -195,7 +198,7 @@ CTE["pwide"] = "select pstats.*, sku.* exclude (sid) from pstats join sku on sku
 CTE["prstats"] = f"""
   select {_win('30 days', 'ots')}, province_id, province_name, province_area_code, province_iso_code,
          province_3166_2_code, sum(split_total_amount) as order_amount, count(distinct order_id) as order_count,
-         epoch_ms(min(ots)) as ts
+         (epoch_us(min(ots)) // 1000) as ts
   from ow group by all"""
 
 CTE["kstats"] = f"""
@@ -366,7 +369,7 @@ from pairs""")
 
 oracle("province_rows", """
 select '' as stt, '' as edt, province_id, province_name, province_area_code, province_iso_code, province_3166_2_code,
-       split_total_amount::double as order_amount, 1::bigint as order_count, epoch_ms(ots) as ts
+       split_total_amount::double as order_amount, 1::bigint as order_count, (epoch_us(ots) // 1000) as ts
 from ow""")
 
 # --- statistics -------------------------------------------------------------------------
@@ -392,21 +395,21 @@ oracle("province_stats", f"select {_PRCOLS} from prstats")
 oracle("keyword_stats", "select * from kstats")
 
 # Streams show the windows their watermark has passed: the newest time less the delay.
-_PRODUCT_END = """(select greatest((select max(ts) from log where start is null), (select max(epoch_ms(ots)) from ow),
-                        (select max(epoch_ms(pts)) from pw)) - 2000)"""
+_PRODUCT_END = """(select greatest((select max(ts) from log where start is null), (select max((epoch_us(ots) // 1000)) from ow),
+                        (select max((epoch_us(pts) // 1000)) from pw)) - 2000)"""
 CTE["vstats_stream"] = _visitor_cte(
     "1 days", f"fate <> 'killed' and page_fates.ts + {BOUNCE_MS} <= (select max(ts) - 2000 from pages)")
 ORDER.append("vstats_stream")
 
 
 def _closed(limit: str) -> str:
-    return f"epoch_ms(strptime(edt, '%Y-%m-%d %H:%M:%S')) <= {limit}"
+    return f"(epoch_us(strptime(edt, '%Y-%m-%d %H:%M:%S')) // 1000) <= {limit}"
 
 
 oracle("stream_visitor_stats", f"select * from vstats_stream where {_closed('(select max(ts) - 14000 from pages)')}")
 oracle("stream_product_stats", f"select {_PCOLS} from pstats_stream where {_closed(_PRODUCT_END)}")
 oracle("stream_province_stats",
-       f"select {_PRCOLS} from prstats where {_closed('(select max(epoch_ms(ots)) - 2000 from ow)')}")
+       f"select {_PRCOLS} from prstats where {_closed('(select max((epoch_us(ots) // 1000)) - 2000 from ow)')}")
 oracle("stream_keyword_stats", f"""
 select * from kstats
 where {_closed("(select max(ts) - 2000 from log where last_page_id = 'search' and item is not null)")}""")
@@ -507,8 +510,8 @@ from events where event_type = 'error'""")
 
 oracle("time_functions", f"""
 select event_id, cast(strftime(ts, '%Y%m%d') as int) as yyyymmdd, cast(hour(ts) as int) as hr, {_text('ts')} as stamp,
-       epoch_ms(ts) as millis, {_text('ts')} as stamp_of_millis, epoch_ms(date_trunc('second', ts)) as millis_of_stamp,
-       epoch_ms(date_trunc('second', ts)) - 8 * 3600000 as millis_at_8, strftime(ts, '%Y-%m-%d') as day,
+       (epoch_us(ts) // 1000) as millis, {_text('ts')} as stamp_of_millis, (epoch_us(date_trunc('second', ts)) // 1000) as millis_of_stamp,
+       (epoch_us(date_trunc('second', ts)) // 1000) - 8 * 3600000 as millis_at_8, strftime(ts, '%Y-%m-%d') as day,
        strftime(ts, '%H') as hour_text, strftime(ts, '%Y-%m-%d 00:00:00') as day_start
 from events""")
 
