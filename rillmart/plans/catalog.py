@@ -368,9 +368,10 @@ def report_brand_series(spark, sf):
     """The brand ranking as one row of two lists."""
     top = reports.brand_gmv(_product_wide(spark, sf), ORDER_DATE)
     lists = reports.series(top, "tm_name", "order_amount")
-    return lists.select(
-        F.array_join("categories", ",").alias("categories"),
-        F.array_join(F.transform("series", lambda v: v.cast("decimal(16,2)").cast("string")), ",").alias("series"))
+    amounts = F.transform("series", lambda v: v.cast("decimal(16,2)").cast("string"))
+    return lists.select(  # a day without turnover has no lists
+        F.nullif(F.array_join("categories", ","), F.lit("")).alias("categories"),
+        F.nullif(F.array_join(amounts, ","), F.lit("")).alias("series"))
 
 
 @query
