@@ -19,6 +19,9 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     its own.  The slice is part of the join key, so a key with very many rows
     spreads over slices and only rows near in time are ever compared.
 
+    Both sides are facts that grow without bound, so neither is ever broadcast:
+    the join sorts and merges, and spills where memory ends.
+
     On streams the caller sets the watermarks; the bounds on the two times let
     Spark drop join state.
     """

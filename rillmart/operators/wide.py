@@ -50,6 +50,7 @@ def _timed(df: DataFrame, text: str, name: str, delay: str) -> DataFrame:
     return out.withWatermark(name, delay) if df.isStreaming else out
 
 
+# The fields of the record, by where they come from.
 ORDER_FIELDS = [
     "order_status", "create_time", "create_date", "create_hour", "activity_reduce_amount",
     "coupon_reduce_amount", "original_total_amount", "feight_fee", "total_amount", "province_id", "user_id",
@@ -123,6 +124,7 @@ def merge_order_wide(left: DataFrame, right: DataFrame, key: str = "detail_id",
 
     The three split amounts are never filled, nor are fields outside the list.
     """
+    # The fields that are filled.
     fill = [
         "order_status", "create_time", "create_date", "coupon_reduce_amount", "activity_reduce_amount",
         "original_total_amount", "feight_fee", "total_amount", "user_id", "sku_id", "sku_name", "order_price",
@@ -135,6 +137,7 @@ def merge_order_wide(left: DataFrame, right: DataFrame, key: str = "detail_id",
         F.coalesce(F.col(c), F.col(f"_r_{c}")).alias(c) if c in fill else F.col(c) for c in left.columns])
 
 
+# What a wide payment takes over from the wide order.
 WIDE_FIELDS = [
     "detail_id", "sku_id", "order_price", "sku_num", "sku_name", "province_id", "order_status",
     "activity_reduce_amount", "coupon_reduce_amount", "original_total_amount", "feight_fee", "split_feight_fee",

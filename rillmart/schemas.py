@@ -12,6 +12,7 @@ def record(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
+# Field names and types of the records.
 PAGE_LOG = record(
     common=record(mid=S, vc=S, ch=S, ar=S, is_new=S),
     page=record(page_id=S, last_page_id=S, item=S, item_type=S, during_time=L),
@@ -41,7 +42,7 @@ FAVOR_INFO = CART_INFO
 REFUND_INFO = record(order_id=L, sku_id=L, refund_amount=MONEY, create_time=S)
 COMMENT_INFO = record(sku_id=L, appraise=S, create_time=S)
 
-# Column order of the stats tables, which positional sinks rely on.
+# Column order of the stats tables, which positional sinks rely on.
 VISITOR_STATS = [
     "stt", "edt", "vc", "ch", "ar", "is_new", "uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum", "ts",
 ]

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.routing import TO_DIM, dim_changes, newest
-from ..operators.upsert import as_text, upsert
+from ..operators.upsert import upsert
 from .topics import start
 
 SEQ = "_seq"
@@ -102,7 +102,3 @@ def stream_dims(routed: DataFrame, root: str, tables: dict[str, tuple[list[str],
             batch.unpersist()
 
     return start(routed.writeStream.foreachBatch(write), checkpoint, **run)
-
-
-__all__ = ["append_changes", "as_text", "compact", "create_dim", "create_from_config", "dim_schema", "read_dim",
-           "stream_dims"]
