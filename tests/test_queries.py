@@ -3,8 +3,10 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import TABLES, compare
+from rillmart.plans.catalog import QUERIES
+from rillmart.plans.oracle import ORACLES
 
 from .conftest import SF_DIR
 
@@ -17,14 +19,14 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
     note, _, ok = compare(name, spark, con, SF_DIR)
     assert ok, note
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
