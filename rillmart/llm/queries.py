@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_rules, mixing
+from . import line_rules, mixing, sentencepiece_bpe
 from .common import read
 
 
@@ -18,8 +18,20 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"))
 
 
+def piece_model() -> str:
+    """Where the public tokenizer of the query lies; its place is a parameter of the operator."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_bpe.token_digests(read(spark, sf_dir, "documents"), piece_model())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
+    "op8_sentencepiece": op8_sentencepiece,
     "op10_mix_sources": op10_mix_sources,
 }
 
