@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_rules, mixing, sentencepiece_bpe, substring_dedup
+from . import backoff_lm, line_rules, mixing, sentencepiece_bpe, substring_dedup
 from .common import read
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_lm.backoff_scores(read(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_report(read(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_lm_scores": op2_lm_scores,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op8_sentencepiece": op8_sentencepiece,
