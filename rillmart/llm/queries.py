@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import backoff_lm, line_rules, mixing, sentencepiece_bpe, substring_dedup
+from . import backoff_lm, bagminhash, line_rules, mixing, sentencepiece_bpe, substring_dedup
 from .common import read
 
 
@@ -18,6 +18,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_report(read(spark, sf_dir, "documents"))
 
 
+def op5_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.class_report(read(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.rules_report(read(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lm_scores": op2_lm_scores,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_bagminhash": op5_bagminhash,
     "op6_quality_rules": op6_quality_rules,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_mix_sources": op10_mix_sources,
