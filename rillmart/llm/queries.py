@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import backoff_lm, bagminhash, line_rules, mixing, sentencepiece_bpe, substring_dedup
+from . import backoff_lm, bagminhash, line_rules, mixing, quality_model, sentencepiece_bpe, substring_dedup
 from .common import read
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff_lm.backoff_scores(read(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_lm_scores": op2_lm_scores,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_bagminhash": op5_bagminhash,
