@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import backoff_lm, bagminhash, line_rules, mixing, quality_model, sentencepiece_bpe, substring_dedup
+from . import backoff_lm, bagminhash, html_diff, line_rules, mixing, quality_model, sentencepiece_bpe, substring_dedup
 from .common import read
 
 
@@ -34,6 +34,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_diff.main_texts(read(spark, sf_dir, "pages"))
+
+
 def piece_model() -> str:
     """Where the public tokenizer of the query lies; its place is a parameter of the operator."""
     import public_tokenizers
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_bagminhash": op5_bagminhash,
     "op6_quality_rules": op6_quality_rules,
+    "op7_html_text": op7_html_text,
     "op8_sentencepiece": op8_sentencepiece,
     "op10_mix_sources": op10_mix_sources,
 }
