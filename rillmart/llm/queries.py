@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import backoff_lm, bagminhash, html_diff, line_rules, mixing, quality_model, sentencepiece_bpe, substring_dedup
+from . import backoff_lm, bagminhash, html_diff, line_rules, mixing, multi_index, quality_model, sentencepiece_bpe, substring_dedup
 from .common import read
 
 
@@ -30,6 +31,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.rules_report(read(spark, sf_dir, "documents"))
 
 
+def op9_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_html_text": op7_html_text,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_multi_index": op9_multi_index,
     "op10_mix_sources": op10_mix_sources,
 }
 
