@@ -31,3 +31,8 @@ def words_of(text: Column) -> Column:
 def buckets_for(spark: SparkSession, factor: int = 1) -> int:
     """How many hash buckets to deal work into: follows the session's shuffle partitions."""
     return factor * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it in ``body``; a plain reference inside a lambda would be worked out per element."""
+    return F.element_at(F.transform(F.array(value), body), 1)

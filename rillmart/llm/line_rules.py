@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, stored, words_of
+from .common import SPACE_CLASS, let, stored, words_of
 
 #: A line is too frequent in a host when more distinct texts than both of these hold it.
 LEAST_TEXTS = 20
@@ -19,11 +19,6 @@ LEAST_SHARE = 0.1
 LEAST_LEFT = 0.5
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it in ``body``; a plain reference inside a lambda would be worked out per element."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _repeat_words(words: Column) -> Column:
     """Words inside three-word windows that the text holds twice or more, each word counted once."""
     def covered(marks: Column) -> Column:
@@ -39,13 +34,13 @@ def _repeat_words(words: Column) -> Column:
 
     def count(hashes: Column) -> Column:
         marks = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), 0).otherwise(_let(marks, covered))
+        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), 0).otherwise(let(marks, covered))
 
     def windows(w: Column) -> Column:
         at = F.sequence(F.lit(0), F.size(w) - 3)
         return F.transform(at, lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
 
-    return F.when(F.size(words) < 3, 0).otherwise(_let(windows(words), count)).cast("long")
+    return F.when(F.size(words) < 3, 0).otherwise(let(windows(words), count)).cast("long")
 
 
 def _normal(line: Column) -> Column:
@@ -54,7 +49,7 @@ def _normal(line: Column) -> Column:
 
 def _line_hash(line: Column) -> Column:
     """Hash of the normalised line; NULL for a line without a word."""
-    return _let(_normal(line), lambda n: F.when(n != "", F.xxhash64(n)))
+    return let(_normal(line), lambda n: F.when(n != "", F.xxhash64(n)))
 
 
 def base_counts(text: Column) -> Column:
@@ -63,9 +58,9 @@ def base_counts(text: Column) -> Column:
 
     def lines(ls: Column) -> Column:
         full = F.filter(ls, lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-        return _let(full, lambda f: (F.size(f) - F.size(F.array_distinct(f))).cast("long"))
+        return let(full, lambda f: (F.size(f) - F.size(F.array_distinct(f))).cast("long"))
 
-    return _let(words_of(text), lambda w: F.struct(
+    return let(words_of(text), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"),
         F.length(F.concat_ws("", w)).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.regexp_replace(text, "[#*$%&|<>]", ""))).cast("long").alias("n_symbols"),

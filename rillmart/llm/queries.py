@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff_lm, bagminhash, html_diff, line_rules, mixing, multi_index, quality_model, sentencepiece_bpe, substring_dedup
+from . import backoff_lm, bagminhash, html_diff, licences, line_rules, mixing, multi_index, quality_model, sentencepiece_bpe, substring_dedup
 from .common import read
 
 
@@ -19,6 +19,10 @@ def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff_lm.backoff_scores(read(spark, sf_dir, "documents"))
 
 
+def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_report(read(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_report(read(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_lm_scores": op2_lm_scores,
+    "op3_licence_scan": op3_licence_scan,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_bagminhash": op5_bagminhash,
     "op6_quality_rules": op6_quality_rules,
