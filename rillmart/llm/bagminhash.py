@@ -8,9 +8,12 @@ stops once its time passes the latest register of its document, so a signature t
 few points however large the weights are.  Two signatures agree in a register with the
 probability of the weighted Jaccard similarity of the two multisets.
 
-Bands of registers give candidates.  Each text is first verified against the pivot it
-shares most bands with; then texts of one bucket that are still in different classes
-are compared among each other, so no link between different texts is lost.
+Bands of registers deal texts into buckets.  Every text is compared with the pivot of
+each of its buckets, the text that shares most bands with others: in a family of copies
+that is the original or close to it.  What a text lacks of its pivot and has beyond it is
+kept as two short bit sketches.  They bound the overlap of any two texts of one pivot from
+above, so of the pairs that are still in different classes only those that can reach the
+threshold are ever formed and verified; no link between different texts is lost.
 """
 
 from __future__ import annotations
@@ -31,8 +34,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 REGISTERS = 128
 BAND_ROWS = 4
-#: Registers that a true pair may disagree in beyond expectation: six standard deviations.
-SLACK = 6.0
+#: Bits of the sketches, in 64-bit words.
+SKETCH_WORDS = 8
 #: Shingles sketched at once.
 CHUNK = 1_000_000
 
@@ -153,20 +156,70 @@ def _elements(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select(text_key(F.col("text")).alias("key"), "text").mapInArrow(run, "key binary, bag binary")
 
 
-def _similar(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) of texts whose multisets overlap by ``least`` or more: sum of minima over sum of maxima."""
+def _paired(pairs: DataFrame, bags: DataFrame) -> DataFrame:
+    left = bags.select(F.col("key").alias("a"), F.col("bag").alias("bag_a"))
+    right = bags.select(F.col("key").alias("b"), F.col("bag").alias("bag_b"))
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "bag_a", "bag_b")
+
+
+def _bags(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for x, y in zip(batch.column(2), batch.column(3), strict=True):
+        yield unpack_sorted(x.as_py()), unpack_sorted(y.as_py())
+
+
+def _sketch(elements: np.ndarray) -> list[int]:
+    bits = np.zeros(64 * SKETCH_WORDS, np.uint8)
+    bits[(elements >> np.uint64(40)) % np.uint64(len(bits))] = 1
+    return np.packbits(bits).view(np.int64).tolist()
+
+
+def compare(pairs: DataFrame, bags: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the sizes of both bags, their common elements, and sketches of what b lacks of a and has beyond it."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = unpack_sorted(x), unpack_sorted(y)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(common >= least * (len(x) + len(y) - common) - 1e-9)
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            rows = []
+            for x, y in _bags(batch):
+                common = np.intersect1d(x, y, assume_unique=True)
+                rows.append((len(x), len(y), len(common), _sketch(np.setdiff1d(x, common, assume_unique=True)),
+                             _sketch(np.setdiff1d(y, common, assume_unique=True))))
+            kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 2
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds))],
+                                             names=["a", "b", "size_a", "size_b", "common", "lacks", "beyond"])
 
-    left = bags.select(F.col("key").alias("a"), F.col("bag").alias("bag_a"))
-    right = bags.select(F.col("key").alias("b"), F.col("bag").alias("bag_b"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "bag_a", "bag_b").mapInArrow(run, "a binary, b binary")
+    return _paired(pairs, bags).mapInArrow(run, "a binary, b binary, size_a long, size_b long, common long, lacks array<long>, beyond array<long>")
+
+
+def _reaches(common: Column, sizes: Column, least: float) -> Column:
+    """Whether an overlap gives a weighted Jaccard similarity of ``least``: common / (sizes - common)."""
+    return common.cast("double") >= least * (sizes - common) - 1e-9
+
+
+def _most_common(x: str, y: str) -> Column:
+    """An upper bound on the common elements of two texts from their comparison with one pivot.
+
+    A bit set in one sketch only is an element the other text surely does not share.
+    """
+    def only(name: str, s: str, t: str) -> Column:
+        apart = F.zip_with(F.col(f"{s}.{name}"), F.col(f"{t}.{name}"), lambda u, v: F.bit_count(u.bitwiseAND(F.bitwise_not(v))))
+        return F.aggregate(apart, F.lit(0), lambda n, e: n + e).cast("long")
+
+    def shared(name: str, size) -> Column:
+        return F.least(size(x) - only(name, x, y), size(y) - only(name, y, x))
+
+    def lacking(t: str) -> Column:
+        return F.col(f"{t}.size_a") - F.col(f"{t}.common")
+
+    def extra(t: str) -> Column:
+        return F.col(f"{t}.size_b") - F.col(f"{t}.common")
+
+    of_pivot = F.col(f"{x}.common") - lacking(y) + shared("lacks", lacking)
+    return of_pivot + shared("beyond", extra)
+
+
+def _loose_common(x: str, y: str) -> Column:
+    """The same bound without the sketches: cheap enough to look at first."""
+    return F.least(F.col(f"{x}.common"), F.col(f"{y}.common")) + F.least(
+        F.col(f"{x}.size_b") - F.col(f"{x}.common"), F.col(f"{y}.size_b") - F.col(f"{y}.common"))
 
 
 def _buckets(texts: DataFrame, m: int, rows: int) -> DataFrame:
@@ -189,33 +242,33 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY, shingle: int = SHIN
     signed = stored(signatures(docs, shingle, m), "signatures")
     texts = signed.groupBy("key").agg(F.first("signature").alias("signature"))
     buckets = _buckets(texts, m, rows)
-    shared = buckets.groupBy("bucket").agg(F.min("key").alias("pivot"), F.max("key").alias("last"))
-    shared = shared.filter(F.col("pivot") != F.col("last")).drop("last")
-    # Members of buckets with several texts: what both rounds work on.
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Members of buckets with several texts, and how often each meets others in all its buckets.
     members = stored(buckets.join(shared, "bucket"), "bucket-members")
-    stars = members.filter(F.col("key") != F.col("pivot")).groupBy("pivot", "key").agg(F.count(F.lit(1)).alias("n"))
-    best = stars.groupBy("key").agg(F.max(F.struct("n", "pivot")).alias("best"))
-    first = best.select(F.col("best.pivot").alias("a"), F.col("key").alias("b"))
+    central = members.groupBy("key").agg(F.sum("n").alias("meets"))
+    pivots = members.join(central, "key").groupBy("bucket").agg(F.max(F.struct("meets", "key")).alias("top"))
+    stars = members.join(pivots, "bucket").select(F.col("top.key").alias("a"), F.col("key").alias("b")).filter("a != b").distinct()
     # One document of each text in question; rows of the same id with other texts fall out with the join on the key.
     asked = members.select("key").distinct()
     owners = signed.join(asked, "key").groupBy("key").agg(F.min("doc_id").alias("owner"))
     wanted = owners.select("owner").distinct()
     bags = _elements(docs.join(wanted, docs["doc_id"].eqNullSafe(F.col("owner")), "left_semi"), shingle)
     bags = stored(bags.join(asked, "key", "left_semi").dropDuplicates(["key"]), "bags")
-    links = stored(_similar(first, bags, least), "links")
+    stars = stored(compare(stars, bags), "stars")
+    links = stars.filter(_reaches(F.col("common"), F.col("size_a") + F.col("size_b"), least)).select("a", "b")
     labels = components(links)
-    # Second round: texts of one bucket in different classes, where the whole signatures agree well enough.
-    placed = members.select("bucket", "key").join(labels.select(F.col("node").alias("key"), "label"), "key", "left")
-    placed = stored(placed.withColumn("label", F.coalesce("label", "key")), "placed")
-    mixed = placed.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("bucket")
-    rest = placed.join(mixed, "bucket").join(texts, "key")
-    x, y = rest.alias("x"), rest.alias("y")
-    agree = F.size(F.filter(F.zip_with(F.col("x.signature"), F.col("y.signature"), lambda s, t: s == t), lambda e: e))
-    floor = m * least - SLACK * (m * least * (1 - least)) ** 0.5
-    more = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") < F.col("y.label")) & (agree >= floor))
-    more = more.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
-    links = links.unionByName(stored(_similar(more, bags, least), "more-links"))
-    labels = components(links).withColumnRenamed("node", "key")
+    # Pairs of one pivot that are still apart: one of the two is not in the pivot's class.
+    label = labels.select(F.col("node"), F.col("label"))
+    placed = stars.join(label.toDF("a", "label_a"), "a", "left").join(label.toDF("b", "label"), "b", "left")
+    placed = stored(placed.withColumns({"label": F.coalesce("label", "b"), "label_a": F.coalesce("label_a", "a")}), "placed")
+    x, y = placed.filter("label != label_a").alias("x"), placed.alias("y")
+    sizes = F.col("x.size_b") + F.col("y.size_b")
+    apart = (F.col("x.label") < F.col("y.label")) | ((F.col("x.label") > F.col("y.label")) & (F.col("y.label") == F.col("y.label_a")))
+    more = x.join(y, (F.col("x.a") == F.col("y.a")) & apart & _reaches(_loose_common("x", "y"), sizes, least)
+                  & _reaches(_most_common("x", "y"), sizes, least))
+    more = more.select(F.col("x.b").alias("a"), F.col("y.b").alias("b")).distinct()
+    more = stored(compare(more, bags).filter(_reaches(F.col("common"), F.col("size_a") + F.col("size_b"), least)).select("a", "b"), "more-links")
+    labels = components(links.unionByName(more)).withColumnRenamed("node", "key")
     named = signed.select("doc_id", "key", "n_shingles").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     named = stored(named, "named")
     ids = named.groupBy("label").agg(F.min("doc_id").alias("class_id"))

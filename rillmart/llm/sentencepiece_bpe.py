@@ -62,6 +62,8 @@ class Pieces:
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in normal):
             raise ValueError("a piece holds a space after other characters; units can't be encoded alone")
         self.byte_ids = byte_ids
+        self.spaced = np.zeros(n, bool)
+        self.spaced[[i for piece, i in normal.items() if piece.startswith(SPACE)]] = True
         self.data = np.frombuffer(b"".join(data), np.uint8)
         self.length = np.array([len(x) for x in data], np.int64)
         self.start = np.cumsum(self.length) - self.length
@@ -205,6 +207,12 @@ class Pieces:
         """The bytes of all pieces in a row."""
         return self.data[_spans(self.start[ids], self.length[ids])]
 
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of the ids; the space that the first piece begins with is the model's own."""
+        raw = self.decode_bytes(ids).tobytes()
+        ids = ids[self.length[ids] > 0]
+        return _whole(raw[1:] if len(ids) and self.spaced[ids[0]] else raw).decode()
+
 
 def _spans(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Indices start, start + 1, ... of each span, one span after the other."""
@@ -212,9 +220,8 @@ def _spans(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.repeat(start - before, length) + np.arange(int(length.sum()))
 
 
-def _clean(raw: bytes) -> bytes:
-    """Piece bytes as the decoded text in UTF-8: no leading space, each broken byte a replacement character."""
-    raw = raw.removeprefix(b" ")
+def _whole(raw: bytes) -> bytes:
+    """Piece bytes in UTF-8, each broken byte a replacement character."""
     try:
         raw.decode()
         return raw
@@ -296,7 +303,8 @@ def digest_texts(model: bytes, batches: Iterable[pa.RecordBatch]) -> Iterator[pa
         id_hash, text_hash = [], []
         for k in range(len(texts)):
             id_hash.append(hashlib.sha256(bos + packed[bounds[k]:bounds[k + 1]].tobytes() + eos).hexdigest())
-            text_hash.append(hashlib.sha256(_clean(raw[ends[k]:ends[k + 1]].tobytes())).hexdigest())
+            # The first unit begins with the model's own space.
+            text_hash.append(hashlib.sha256(_whole(raw[ends[k] + 1:ends[k + 1]].tobytes())).hexdigest())
         yield pa.RecordBatch.from_arrays(
             [part.column(0), pa.array(np.diff(bounds) + 2), pa.array(id_hash), pa.array(text_hash)],
             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
@@ -342,7 +350,7 @@ def decode(rows: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:
         p = _pieces(model)
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index("ids_")).to_pylist()
-            texts = [_clean(p.decode_bytes(np.array(x or [], np.int64)).tobytes()).decode() for x in lists]
+            texts = [p.decode(np.array(x or [], np.int64)) for x in lists]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(len(kept))], pa.array(texts, pa.string())], names=[*kept, "text"])
 
     schema = T.StructType([*rows.select(*kept).schema.fields, T.StructField("text", T.StringType())])
