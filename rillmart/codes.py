@@ -95,7 +95,7 @@ def code_table(spark: SparkSession) -> DataFrame:
 def keyword_weight(source: Column | str, weights: dict[str, int] | None = None) -> Column:
     """Weight of a keyword source, compared without regard to case; 0 if unlisted."""
     chain: Column | None = None
-    for name, weight in (weights or KEYWORD_WEIGHTS).items():
+    for name, weight in (KEYWORD_WEIGHTS if weights is None else weights).items():
         test = F.upper(col(source)) == name.upper()
         chain = F.when(test, weight) if chain is None else chain.when(test, weight)
     return chain.otherwise(0) if chain is not None else F.lit(0)

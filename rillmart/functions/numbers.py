@@ -16,8 +16,8 @@ def money(c: Column | str) -> Column:
 
 
 def loose_long(c: Column | str) -> Column:
-    """Number in text -> long, NULL where it is none."""
-    return col(c).try_cast("bigint")
+    """Number in text, quoted or with decimals -> long without the decimals, NULL where it is none."""
+    return col(c).try_cast("decimal(38,6)").try_cast("bigint")
 
 
 def _quotient(top: Column, bottom: Column, scale: int) -> Column:

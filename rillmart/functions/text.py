@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from .timefns import col
 
-# Fixed value: runs of Latin letters and digits, or single Han characters.
-WORD_PATTERN = r"([a-z0-9]+|\p{IsHan})"
+# Fixed value: single Han characters, or runs of letters of one of the scripts written without spaces, or of any other
+# letters and digits, with their marks.
+WORD_PATTERN = r"(\p{IsHan}|[\p{IsHiragana}ー]+|[\p{IsKatakana}ー]+|\p{IsThai}+|[\p{L}\p{M}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]]+)"
 HAN_PAIR_PATTERN = r"(?=(\p{IsHan}{2}))"
 
 
@@ -58,10 +59,6 @@ def explode_words(df: DataFrame, text: str, out: str = "word", han_pairs: bool =
     return split.join(stop_words.select(F.col("word").alias(out)), out, "left_anti")
 
 
-def join_texts(values: Column | str, separator: str) -> Column:
-    return F.array_join(col(values), separator)
-
-
 def pad2(number: Column | str) -> Column:
     return F.lpad(col(number).cast("string"), 2, "0")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ORDER = ("ts", "event_id")
@@ -87,3 +87,35 @@ def routed_log(log: DataFrame) -> DataFrame:
         F.to_json(d.withField("page_id", F.col("page.page_id"))).alias("value")))
     rows = F.when(is_page, F.concat(F.array(own), shown)).otherwise(F.array(own))
     return log.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def _entries(value: Column) -> Column:
+    """The fields of a JSON object in text as a map; NULL for anything else."""
+    return F.try_variant_get(F.try_parse_json(value), "$", "map<string,variant>")
+
+
+def _with_text(entries: Column, name: str, text: Column) -> Column:
+    """Set one field of an object to a text, or leave it out for NULL."""
+    others = F.map_filter(entries, lambda k, _: k != name)
+    return F.when(text.isNull(), others).otherwise(F.map_concat(others, F.create_map(F.lit(name), text.cast("variant"))))
+
+
+def routed_whole(log: DataFrame, value: str = "value") -> DataFrame:
+    """Rows (sink_table, value) like ``routed_log``, but each record whole, as its line ``value`` holds it.
+
+    Only the repaired ``common.is_new`` is put in, and the page a display was shown
+    on; every other field, listed in the schema or not, is handed on.
+    """
+    record = _entries(F.col(value))
+    common = F.coalesce(F.try_variant_get(record["common"], "$", "map<string,variant>"), F.create_map().cast("map<string,variant>"))
+    common = _with_text(common, "is_new", F.col("common.is_new"))
+    whole = F.map_concat(F.map_filter(record, lambda k, _: k != "common"), F.create_map(F.lit("common"), F.to_variant_object(common)))
+    is_page = F.col("start").isNull()
+    own = F.struct(F.when(is_page, "dwd_page_log").otherwise("dwd_start_log").alias("sink_table"), F.to_json(whole).alias("value"))
+    shown = F.coalesce(F.try_variant_get(record["displays"], "$", "array<variant>"), F.array().cast("array<variant>"))
+    displays = F.transform(shown, lambda d: F.struct(
+        F.lit("dwd_display_log").alias("sink_table"),
+        F.to_json(_with_text(F.try_variant_get(d, "$", "map<string,variant>"), "page_id", F.col("page.page_id"))).alias("value")))
+    rows = F.when(is_page, F.concat(F.array(own), displays)).otherwise(F.array(own))
+    kept = [c for c in ("event_id",) if c in log.columns]
+    return log.select(F.explode(rows).alias("r"), *kept).select("r.*", *kept)

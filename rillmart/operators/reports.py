@@ -37,7 +37,8 @@ def _top(df: DataFrame, per: list[str], order: list[Column], limit: int) -> Data
     if not per:
         return df.orderBy(*order).limit(limit)
     w = Window.partitionBy(*per).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= limit).drop("_n")
+    ranked = df.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= limit)
+    return ranked.orderBy(*per, "_n").drop("_n")
 
 
 def gmv(stats: DataFrame, date: int | None = None) -> DataFrame:
@@ -119,7 +120,7 @@ def full_day(by_hour: DataFrame) -> DataFrame:
     hours = by_hour.sparkSession.range(24).select(F.col("id").cast("int").alias("hr"))
     measures = [c for c in by_hour.columns if c != "hr"]
     return hours.join(by_hour, "hr", "left").select(
-        pad2("hr").alias("hr"), *[F.coalesce(m, F.lit(0)).alias(m) for m in measures])
+        pad2("hr").alias("hr"), *[F.coalesce(m, F.lit(0)).alias(m) for m in measures]).orderBy("hr")
 
 
 def new_against_old(by_new: DataFrame) -> DataFrame:

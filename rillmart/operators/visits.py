@@ -46,16 +46,16 @@ def entry_fates(log: DataFrame, within: timedelta = WITHIN, order_by: tuple[str,
     width = bound * span
     home = F.floor(F.col("ts") / width)
     early = F.pmod("ts", F.lit(width)) < bound
-    sliced = log.withColumn("_home", home).withColumn(
+    # The visitor is a plain column: over a struct's field every window expression would plan an exchange of its own.
+    sliced = log.withColumns({"_home": home, "_mid": F.col("common.mid")}).withColumn(
         "_slice", F.explode(F.when(early, F.array("_home", F.col("_home") - 1)).otherwise(F.array("_home"))))
-    w = Window.partitionBy("common.mid", "_slice").orderBy(*order_by)
+    w = Window.partitionBy("_mid", "_slice").orderBy(*order_by)
     fate = (
-        F.when(F.col("_next_ts").isNull() | (F.col("_next_ts") >= F.col("ts") + bound), "timeout")
-        .when(F.col("_next_last").isNull(), "matched")
+        F.when(F.col("_next.ts").isNull() | (F.col("_next.ts") >= F.col("ts") + bound), "timeout")
+        .when(F.col("_next.last").isNull(), "matched")
         .otherwise("killed")
     )
-    walked = sliced.withColumn("_next_ts", F.lead("ts").over(w)).withColumn(
-        "_next_last", F.lead("page.last_page_id").over(w))
+    walked = sliced.withColumn("_next", F.lead(F.struct("ts", F.col("page.last_page_id").alias("last"))).over(w))
     return (
         entries(walked).filter("_slice = _home")
         .withColumn("fate", fate)

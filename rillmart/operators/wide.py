@@ -41,10 +41,6 @@ def order_times(orders: DataFrame) -> DataFrame:
     )
 
 
-def detail_times(details: DataFrame) -> DataFrame:
-    return details.withColumn("create_ts", to_millis(moment(details, "create_time")))
-
-
 def _timed(df: DataFrame, text: str, name: str, delay: str) -> DataFrame:
     out = df.withColumn(name, moment(df, text))
     return out.withWatermark(name, delay) if df.isStreaming else out

@@ -82,6 +82,32 @@ def json_roundtrip(spark, sf):
     return plain(parsing.parse_lines(lines, schemas.ORDER_INFO, ("id",))[0])
 
 
+def _open_log(spark, sf) -> DataFrame:
+    return parsing.parse_marked(tb.open_log_lines(tb.app_log(spark, sf)), schemas.PAGE_LOG, ("common.mid", "ts"))
+
+
+@query
+def open_parse_split(spark, sf):
+    """Log lines with fields of their own, quoted numbers and decimals: what is read, and what is dirty."""
+    marked = _open_log(spark, sf)
+    ok = ~F.col("dirty")
+    return marked.select("event_id", F.col("dirty").cast("int").alias("dirty"), F.when(ok, F.col("common.mid")).alias("mid"),
+                         F.when(ok, F.col("page.during_time")).alias("during_time"), F.when(ok, F.col("ts")).alias("ts"))
+
+
+@query
+def open_log_topics(spark, sf):
+    """Such lines split into topics with repaired flags: every field of a record is handed on."""
+    log = _open_log(spark, sf).filter(~F.col("dirty")).drop("dirty")
+    out = logs.routed_whole(logs.repair_new_flag(log))
+    field = lambda path: F.get_json_object("value", path)
+    return out.select(
+        "event_id", "sink_table", field("$.common.is_new").alias("is_new"), field("$.common.md").alias("md"),
+        field("$.page.source_type").alias("source_type"), field("$.err.code").cast("bigint").alias("err_code"),
+        field("$.start.loading_time").cast("bigint").alias("loading_time"), field("$.pos_id").cast("bigint").alias("pos_id"),
+        field("$.page_id").alias("shown_on"), field("$.item").alias("item"), field("$.page.during_time").alias("during_text"))
+
+
 def _key(image: Column) -> Column:
     return F.coalesce(image["c_custkey"], image["o_orderkey"], image["p_partkey"], image["s_suppkey"]).cast("bigint")
 

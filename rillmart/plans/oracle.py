@@ -36,6 +36,11 @@ CTE["fixed"] = """
                          then '0' else is_new end as is_new)
   from log"""
 
+CTE["open_fixed"] = """
+  select * replace (case when is_new = '1' and row_number() over (partition by mid, is_new order by ts, event_id) > 1
+                         then '0' else is_new end as is_new)
+  from log where event_id % 50 not in (0, 1, 2)"""
+
 CTE["pages"] = "select * from fixed where start is null"
 
 CTE["displays"] = """
@@ -257,6 +262,21 @@ select event_id, cast(bad as int) as dirty, case when not bad then mid end as mi
        case when not bad then ts end as ts
 from (select *, event_id % 50 in (0, 1) as bad from log)""")
 
+oracle("open_parse_split", """
+select event_id, cast(bad as int) as dirty, case when not bad then mid end as mid,
+       case when not bad then during_time end as during_time, case when not bad then ts end as ts
+from (select *, event_id % 50 in (0, 1, 2) as bad from log)""")
+
+oracle("open_log_topics", """
+select event_id, case when start is null then 'dwd_page_log' else 'dwd_start_log' end as sink_table, is_new,
+       'model ' || (event_id % 6) as md, 'promotion' as source_type, case when event_id % 5 = 0 then event_id % 9 end as err_code,
+       case when start is not null then 7 end as loading_time, null::bigint as pos_id, null::varchar as shown_on,
+       null::varchar as item, during_time || case when event_id % 3 = 1 then '.5' else '' end as during_text
+from open_fixed
+union all
+select event_id, 'dwd_display_log', null, null, null, null, null, i, page_id, cast((event_id + i) % 200 as varchar), null
+from open_fixed, lateral (select unnest(range(0, shown)) as i) where start is null""")
+
 oracle("json_roundtrip", """
 select id, province_id, order_status, user_id, total_amount::double as total_amount,
        0.0::double as activity_reduce_amount, 0.0::double as coupon_reduce_amount,

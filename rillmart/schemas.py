@@ -22,7 +22,6 @@ PAGE_LOG = record(
 )
 
 CHANGE = record(database=S, tableName=S, before=TEXTS, after=TEXTS, type=S)
-FLAT_CHANGE = record(operation=S, data=TEXTS, database=S, table=S)
 ROUTING = record(sourceTable=S, operateType=S, sinkType=S, sinkTable=S, sinkColumns=S, sinkPk=S, sinkExtend=S)
 
 ORDER_INFO = record(
@@ -56,4 +55,3 @@ PROVINCE_STATS = [
     "stt", "edt", "province_id", "province_name", "province_area_code", "province_iso_code",
     "province_3166_2_code", "order_amount", "order_count", "ts",
 ]
-KEYWORD_STATS = ["keyword", "ct", "source", "stt", "edt", "ts"]

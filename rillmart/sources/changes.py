@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,18 +25,34 @@ def snapshot_records(table: DataFrame, database: str, name: str) -> DataFrame:
     )
 
 
-def change_lines(spark: SparkSession, path: str, startup: str = "initial", since: str | None = None) -> DataFrame:
+def started_at(spark: SparkSession, checkpoint: str) -> str:
+    """When a job with this checkpoint was first started, as text; the first call notes it beside the checkpoint.
+
+    A restart finds the note and goes on from the same moment, so files that came
+    while the job was down count as new.
+    """
+    note = f"{checkpoint.rstrip('/')}-started"
+    try:
+        return spark.read.parquet(note).first()["moment"]
+    except AnalysisException:
+        spark.sql("select date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss.SSSXXX\") as moment").coalesce(1).write.mode("overwrite").parquet(note)
+        return spark.read.parquet(note).first()["moment"]
+
+
+def change_lines(spark: SparkSession, path: str, startup: str = "initial", since: str | None = None,
+                 checkpoint: str | None = None) -> DataFrame:
     """Stream of change lines from a folder.
 
     ``initial`` reads every file, the snapshot files included; ``latest`` only
-    files written after ``since`` (a timestamp text, the start of the job when
-    left out).  Across a restart the checkpoint decides, not this setting.
+    files written after ``since``, or after the first start of the job whose
+    ``checkpoint`` is named, whichever is given.
     """
     if startup not in ("initial", "latest"):
         raise ValueError(f"startup must be initial or latest, not {startup!r}")
     lines = file_topic(spark, path)
     if startup == "initial":
         return lines
-    moment = since or spark.sql("select string(current_timestamp())").first()[0]
+    if not (since or checkpoint):
+        raise ValueError("latest needs the job's checkpoint, or the moment to start from")
     written = F.col("_metadata.file_modification_time")
-    return lines.filter(written > F.lit(moment).cast("timestamp")).select("value")
+    return lines.filter(written > F.lit(since or started_at(spark, checkpoint)).cast("timestamp")).select("value")

@@ -89,6 +89,27 @@ def log_lines(log: DataFrame) -> DataFrame:
     return log.select("event_id", value.alias("value"))
 
 
+def open_log_lines(log: DataFrame) -> DataFrame:
+    """Log records as apps send them: fields beyond the schema, numbers quoted or with decimals, a few lines spoiled."""
+    eid = F.col("event_id")
+    during = F.col("page.during_time").cast("string")
+    during = F.when(eid % 3 == 0, F.concat(F.lit('"'), during, F.lit('"'))).when(eid % 3 == 1, F.concat(during, F.lit(".5"))).otherwise(during)
+    ts = F.when(eid % 4 == 0, F.concat(F.lit('"'), F.col("ts").cast("string"), F.lit('"'))).otherwise(F.col("ts").cast("string"))
+    common = F.struct("common.*", F.concat(F.lit("model "), eid % 6).alias("md"))
+    page = F.to_json(F.struct(*[F.col(f"page.{c}") for c in ("page_id", "last_page_id", "item", "item_type")], F.lit("promotion").alias("source_type")))
+    page = F.concat(F.substring(page, F.lit(1), F.length(page) - 1), F.lit(',"during_time":'), during, F.lit("}"))
+    shown = F.to_json(F.transform("displays", lambda d, i: F.struct(d["item"].alias("item"), d["item_type"].alias("item_type"), i.alias("pos_id"))))
+    parts = F.concat_ws(
+        ",", F.concat(F.lit('"common":'), F.to_json(common)), F.concat(F.lit('"page":'), page), F.concat(F.lit('"displays":'), shown),
+        F.when(F.col("start").isNotNull(), F.concat(F.lit('"start":{"entry":"'), F.col("start"), F.lit('","loading_time":7}'))),
+        F.when(eid % 5 == 0, F.concat(F.lit('"err":{"code":'), eid % 9, F.lit("}"))), F.concat(F.lit('"ts":'), ts))
+    text = F.concat(F.lit("{"), parts, F.lit("}"))
+    spoiled = F.pmod("event_id", F.lit(50))
+    value = F.when(spoiled == 0, F.substring(text, F.lit(1), F.length(text) - 5)).when(spoiled == 1, F.lit("[1, 2]")).when(
+        spoiled == 2, F.replace(text, F.lit('"mid"'), F.lit('"mud"'))).otherwise(text)
+    return log.select("event_id", value.alias("value"))
+
+
 def orders_of(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Order records; the customer's nation is the province ordered from."""
     total, none = money("o_totalprice"), F.lit(None)

@@ -1,5 +1,6 @@
 """Hand-made rows for the edges the tables do not reach."""
 
+import json
 from datetime import datetime, timedelta
 
 import pytest
@@ -411,3 +412,46 @@ def test_codes(spark):
     assert table.count() == sum(len(v) for v in codes.CODES.values())
     df = spark.createDataFrame([("1101",), ("9",)], "c string").select(codes.decode("payment_type", "c").alias("n"))
     assert [r.n for r in df.collect()] == ["ALIPAY", None]
+
+
+# --- open records ------------------------------------------------------------------
+
+def test_loose_numbers_are_read(spark):
+    lines = spark.createDataFrame([
+        (1, '{"common":{"mid":"a"},"page":{"during_time":"120"},"ts":"1704067200000"}'), (2, '{"common":{"mid":"a"},"page":{"during_time":12.5},"ts":1}'),
+        (3, '{"common":{"mid":"a"},"ts":"soon"}'), (4, "[]"), (5, ""), (6, None), (7, '{"common":{"mid":7},"page":{"during_time":"x"},"ts":2.9e3}'),
+    ], "n int, value string")
+    got = {r.n: (r.dirty, r.page and r.page.during_time, r.ts) for r in parsing.parse_marked(lines, schemas.PAGE_LOG, ("common.mid", "ts")).collect()}
+    assert got[1] == (False, 120, 1704067200000) and got[2] == (False, 12, 1) and got[7] == (False, None, 2900)
+    assert all(got[n][0] for n in (3, 4, 5, 6))
+
+
+def test_records_are_handed_on_whole(spark):
+    line = ('{"common":{"mid":"a","is_new":"1","md":"x","uid":5},"page":{"page_id":"p\\"q","source_type":"ad"},"displays":[{"item":"1","pos_id":2},{"order":[1,2.5]}],'
+            '"actions":[{"id":1}],"err":{"code":3},"ts":1}')
+    start = '{"common":{"mid":"a","is_new":"1"},"start":{"entry":"icon"},"ts":2,"extra":null}'
+    log, _ = parsing.parse_lines(spark.createDataFrame([(line,), (start,)], "value string"), schemas.PAGE_LOG, ("common.mid", "ts"), keep=True)
+    out = logs.routed_whole(logs.repair_new_flag(log, order_by=("ts",))).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.sink_table, []).append(json.loads(r.value))
+    assert by["dwd_page_log"] == [json.loads(line)]
+    assert by["dwd_display_log"] == [{"item": "1", "pos_id": 2, "page_id": 'p"q'}, {"order": [1, 2.5], "page_id": 'p"q'}]
+    want = json.loads(start)
+    want["common"]["is_new"] = "0"
+    assert by["dwd_start_log"] == [want]
+
+
+def test_one_exchange_for_bounces(spark, make_log):
+    plan = visits.user_jump(make_log([("a", 1, None), ("a", 2, "x")]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_words_of_other_scripts(spark):
+    row = spark.createDataFrame([("Caf\u00e9 K\u00f6ln \u0422\u041e\u0412\u0410\u0420 \u30ab\u30e1\u30e9 \ud734\ub300\ud3f0 \u624b\u673a x2",)], "t string").select(text.words("t").alias("w")).first()
+    assert row.w == ["caf\u00e9", "k\u00f6ln", "\u0442\u043e\u0432\u0430\u0440", "\u30ab\u30e1\u30e9", "\ud734\ub300\ud3f0", "\u624b", "\u673a", "x2"]
+
+
+def test_no_weights_score_nothing(spark):
+    kw = spark.createDataFrame([("a", 3, "search", "2024-01-01 00:00:00")], "keyword string, ct long, source string, stt string")
+    assert [tuple(r) for r in reports.keyword_scores(kw, 20240101, weights={}).collect()] == [("a", 0)]

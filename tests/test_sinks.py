@@ -1,6 +1,7 @@
 """Topics, dimension tables and stats tables."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,6 +77,24 @@ def test_change_lines_latest_skips_older_files(spark, tmp_path):
         changes.change_lines(spark, str(tmp_path / "in"), "sometime")
 
 
+def test_change_lines_latest_keeps_files_across_a_restart(spark, tmp_path):
+    write_lines(tmp_path / "in", "1.txt", ["old"])
+    os.utime(tmp_path / "in" / "1.txt", (1_600_000_000, 1_600_000_000))
+
+    def once():
+        lines = changes.change_lines(spark, str(tmp_path / "in"), "latest", checkpoint=f"{tmp_path}/c")
+        run(topics.to_topic(lines, f"{tmp_path}/out", f"{tmp_path}/c", "text", once=True))
+        return sorted(r.value for r in spark.read.schema("value string").text(f"{tmp_path}/out").collect())
+
+    assert once() == []
+    write_lines(tmp_path / "in", "2.txt", ["came while down"])
+    later = time.time() + 5
+    os.utime(tmp_path / "in" / "2.txt", (later, later))
+    assert once() == ["came while down"]
+    with pytest.raises(ValueError):
+        changes.change_lines(spark, str(tmp_path / "in"), "latest")
+
+
 def test_topic_table_as_view(spark, tmp_path):
     write_lines(tmp_path / "in", "1.txt", ['{"page":{"item":"x"},"ts":1700000000000}', '{"page":{},"ts":1700000000001}'])
     topic_table(file_topic(spark, str(tmp_path / "in"), stream=False), "page map<string,string>, ts bigint",
