@@ -594,6 +594,18 @@ def stream_dim_upsert(spark, sf):
     return dim_sink.read_dim(spark, f"{stages.path('dims')}/dim_customer", "c_custkey").select(*DIM_COLUMNS)
 
 
+@query
+def stream_dim_partial(spark, sf):
+    """Updates that hold a part of the columns, from operations with different column lists."""
+    stages = Stages(spark, "dim-partial")
+    s = stages.session
+    env = parsing.change_envelope(tb.partial_change_records(s, sf, stream_table))
+    refresh.db_split(env, lambda: tb.routing(s, tb.PARTIAL_ROWS), stages.path("facts"), stages.path("dims"), stages.checkpoint("split"),
+                     "seq", once=True).awaitTermination()
+    rows = dim_sink.read_dim(spark, f"{stages.path('dims')}/dim_customer", "c_custkey")
+    return rows.select("c_custkey", "c_name", "c_mktsegment", F.col("c_acctbal").cast("double").alias("c_acctbal"))
+
+
 @query
 def stream_route_fact(spark, sf):
     """Order changes written to their fact topic, read back."""

@@ -309,6 +309,11 @@ from customer"""
 oracle("dim_upsert", _DIM)
 oracle("stream_dim_upsert", _DIM)
 
+oracle("stream_dim_partial", """
+select cast(c_custkey as varchar) as c_custkey, c_name, case when c_custkey % 3 = 0 then 'UPDATED' else c_mktsegment end as c_mktsegment,
+       case when c_custkey % 6 = 0 then c_acctbal::double end as c_acctbal
+from customer""")
+
 oracle("stream_route_fact", """
 select 'dwd_orders' as sink_table, 4 as n_columns, key as o_orderkey, cust as o_custkey, price as o_totalprice,
        dt as o_orderdate

@@ -311,6 +311,14 @@ def change_records(spark: SparkSession, sf_dir: str, read=read_table) -> DataFra
     return out
 
 
+def partial_change_records(spark: SparkSession, sf_dir: str, read=read_table) -> DataFrame:
+    """Change records whose updates hold only the key, the segment and, for even keys, the balance."""
+    records = change_records(spark, sf_dir, read).filter(F.col("topic") == "binlog.shop.customer")
+    sent = F.map_filter("after", lambda k, _: k.isin("c_custkey", "c_mktsegment") | (
+        (k == "c_acctbal") & (F.col("after")["c_custkey"].cast("bigint") % 2 == 0)))
+    return records.withColumn("after", F.when(F.col("op") == "UPDATE", sent).otherwise(F.col("after")))
+
+
 # Where each kind of change goes, for these tables.
 ROUTING_ROWS = [
     ("customer", "insert", "hbase", "dim_customer", "c_custkey,c_name,c_mktsegment", "c_custkey", None),
@@ -320,7 +328,14 @@ ROUTING_ROWS = [
 ]
 
 
-def routing(spark: SparkSession) -> DataFrame:
+#: Inserts and updates of one table with columns of their own.
+PARTIAL_ROWS = [
+    ("customer", "insert", "hbase", "dim_customer", "c_custkey,c_name,c_mktsegment", "c_custkey", None),
+    ("customer", "update", "hbase", "dim_customer", "c_custkey,c_mktsegment,c_acctbal", "c_custkey", None),
+]
+
+
+def routing(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:
     from ..schemas import ROUTING
 
-    return spark.createDataFrame(ROUTING_ROWS, ROUTING)
+    return spark.createDataFrame(rows or ROUTING_ROWS, ROUTING)

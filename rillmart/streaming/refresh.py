@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.query import StreamingQueryException
 
-from ..operators.routing import TO_DIM, dim_changes, fact_changes, map_columns, route_changes
-from ..sinks.dims import append_changes, create_dim, dim_schema
+from ..operators.routing import fact_changes, route_changes
+from ..sinks.dims import COMPACT_AFTER, config_tables, create_dim, dim_schema, write_batch
 from ..sinks.topics import start
 
 
@@ -33,7 +33,7 @@ def enrich(stream: DataFrame, load: Callable[[], object], join: Callable[[DataFr
 
 
 def db_split(changes: DataFrame, load_config: Callable[[], DataFrame], facts_path: str, dims_root: str,
-             checkpoint: str, order_by: str, **run) -> StreamingQuery:
+             checkpoint: str, order_by: str, compact_after: int = COMPACT_AFTER, **run) -> StreamingQuery:
     """Route change envelopes by the present config: facts to text topics, dimension rows to their tables.
 
     Facts go to ``<facts_path>/batch=<n>/sink_table=<topic>`` as JSON lines.
@@ -47,14 +47,12 @@ def db_split(changes: DataFrame, load_config: Callable[[], DataFrame], facts_pat
             fact_changes(routed).select(F.col("sinkTable").alias("sink_table"), F.to_json("after").alias("value")
                                         ).write.mode("overwrite").partitionBy("sink_table").text(
                 f"{facts_path}/batch={batch_id}")
-            tables = config.filter(F.col("sinkType") == TO_DIM).select("sinkTable", "sinkColumns", "sinkPk").distinct()
-            for table in tables.toLocalIterator():
-                folder = f"{dims_root}/{table.sinkTable}"
-                schema = dim_schema(table.sinkColumns, table.sinkPk)
-                key = next(f.name for f in schema.fields if not f.nullable)
-                create_dim(batch.sparkSession, folder, table.sinkColumns, table.sinkPk)
-                rows = map_columns(dim_changes(routed), table.sinkTable, schema.names, (order_by,))
-                append_changes(rows, folder, batch_id, key, order_by)
+            tables = {}
+            for table, (columns, pk) in config_tables(config).items():
+                schema = dim_schema(columns, pk)
+                create_dim(batch.sparkSession, f"{dims_root}/{table}", columns, pk)
+                tables[table] = (schema.names, next(f.name for f in schema.fields if not f.nullable))
+            write_batch(routed, dims_root, tables, batch_id, order_by, compact_after)
         finally:
             routed.unpersist()
 

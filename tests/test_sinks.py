@@ -165,6 +165,45 @@ def test_stream_dims_applies_each_batch(spark, tmp_path):
         assert rows(spark, f"{tmp_path}/dim_x") == [("1", name)]
 
 
+def after(spark, *items):
+    return spark.createDataFrame(list(items), "sinkType string, sinkTable string, after map<string,string>, seq int")
+
+
+def test_a_change_sets_only_the_columns_it_holds(spark, tmp_path):
+    path = f"{tmp_path}/dim_x"
+    dims.create_dim(spark, path, "id,name,city")
+    table = {"dim_x": (["id", "name", "city"], "id")}
+    dims.write_batch(after(spark, ("hbase", "dim_x", {"id": "1", "name": "a", "city": "X"}, 1), ("hbase", "dim_x", {"id": "2", "name": "n"}, 1)), str(tmp_path), table, 0, "seq", 9)
+    # Two changes of one key in one batch each set a column of their own; the newer one wins where both do.
+    dims.write_batch(after(spark, ("hbase", "dim_x", {"id": "1", "name": "b"}, 3), ("hbase", "dim_x", {"id": "1", "name": "old", "city": "Y"}, 2)), str(tmp_path), table, 1, "seq", 9)
+    state = {r.id: (r.name, r.city) for r in dims.read_dim(spark, path, "id").collect()}
+    assert state == {"1": ("b", "Y"), "2": ("n", None)}
+    # A column a later config adds is seen from then on, also through a new base.
+    more = {"dim_x": (["id", "name", "city", "zip"], "id")}
+    dims.write_batch(after(spark, ("hbase", "dim_x", {"id": "2", "zip": "9"}, 1)), str(tmp_path), more, 2, "seq", 9)
+    want = {"1": ("b", "Y", None), "2": ("n", None, "9")}
+    assert {r.id: (r.name, r.city, r.zip) for r in dims.read_dim(spark, path, "id").collect()} == want
+    dims.compact(spark, path, "id")
+    assert {r.id: (r.name, r.city, r.zip) for r in dims.read_dim(spark, path, "id").collect()} == want
+
+
+def test_changes_are_folded_and_old_folders_go(spark, tmp_path):
+    path, table = f"{tmp_path}/dim_x", {"dim_x": (["id", "name"], "id")}
+    dims.create_dim(spark, path, "id,name")
+    for n in range(7):
+        dims.write_batch(after(spark, ("hbase", "dim_x", {"id": str(n % 3), "name": f"n{n}"}, 1)), str(tmp_path), table, n, "seq", 3)
+        dims.write_batch(after(spark, ("hbase", "dim_y", {"id": "1"}, 1)), str(tmp_path), table, 100 + n, "seq", 3)
+    assert rows(spark, path) == [("0", "n6"), ("1", "n4"), ("2", "n5")]
+    assert len(os.listdir(f"{path}/changes")) < 7 and not any(n.endswith("=100") for n in os.listdir(f"{path}/changes"))
+
+
+def test_tables_of_a_config_have_the_columns_of_all_operations(spark):
+    config = tb.routing(spark, [("t", "insert", "hbase", "dim_x", "id,name,city", "id", None), ("t", "update", "hbase", "dim_x", "id,name,zip", None, None),
+                                ("u", "insert", "kafka", "f", "id", None, None)])
+    columns, key = dims.config_tables(config)["dim_x"]
+    assert sorted(columns.split(",")) == ["city", "id", "name", "zip"] and key == "id" and len(dims.config_tables(config)) == 1
+
+
 # --- stats tables ------------------------------------------------------------------
 
 def test_stats_table_is_pruned_by_day(spark, tmp_path):
