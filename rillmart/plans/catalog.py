@@ -18,6 +18,7 @@ from ..operators.joins import interval_join
 from ..operators.upsert import as_text, upsert
 from ..session import use_utc
 from ..sinks import dims as dim_sink
+from ..sinks.kept import kept_table
 from ..sinks.topics import to_routed_topics
 from ..sources import testbed as tb
 from ..sources.tables import read_table, stream_table
@@ -228,13 +229,21 @@ def _pairs(spark, sf) -> DataFrame:
     return wide.join_order_detail(tb.order_info(spark, sf), tb.order_detail(spark, sf), *ORDER_BOUNDS)
 
 
+ORDER_TABLES = ("orders", "lineitem", "customer", "nation", "region", "part")
+
+
 def _order_wide(spark, sf) -> DataFrame:
     return wide.order_wide(tb.order_info(spark, sf), tb.order_detail(spark, sf), layers.dims_from(spark, sf),
                            tb.AS_OF, *ORDER_BOUNDS)
 
 
+def _kept_order_wide(spark, sf) -> DataFrame:
+    """Wide orders as a table, as the streams hand them on: what is built on them reads them instead of joining again."""
+    return kept_table(spark, sf, "dwm_order_wide", ORDER_TABLES, lambda: _order_wide(spark, sf))
+
+
 def _payment_wide(spark, sf) -> DataFrame:
-    return wide.payment_wide(tb.payment_info(spark, sf), _order_wide(spark, sf), *PAY_BOUNDS)
+    return wide.payment_wide(tb.payment_info(spark, sf), _kept_order_wide(spark, sf), *PAY_BOUNDS)
 
 
 @query
@@ -303,10 +312,9 @@ def _visitor_stats(spark, sf, window: str) -> DataFrame:
 
 
 def _product_stats(spark, sf, window: str) -> DataFrame:
-    rows = layers.product_rows(
-        tb.app_log(spark, sf), tb.favor_info(spark, sf), tb.cart_info(spark, sf), tb.order_info(spark, sf),
-        tb.order_detail(spark, sf), tb.payment_info(spark, sf), tb.refund_info(spark, sf),
-        tb.comment_info(spark, sf), layers.dims_from(spark, sf), tb.AS_OF, ORDER_BOUNDS, PAY_BOUNDS)
+    rows = stats.product_rows(
+        logs.page_log(tb.app_log(spark, sf)), tb.favor_info(spark, sf), tb.cart_info(spark, sf), _kept_order_wide(spark, sf),
+        _payment_wide(spark, sf), tb.refund_info(spark, sf), tb.comment_info(spark, sf))
     return stats.product_stats(rows, window)
 
 
@@ -315,13 +323,31 @@ def _product_wide(spark, sf, window: str = ORDER_WINDOW) -> DataFrame:
 
 
 def _province_stats(spark, sf) -> DataFrame:
-    return stats.province_stats(_order_wide(spark, sf), ORDER_WINDOW)
+    return stats.province_stats(_kept_order_wide(spark, sf), ORDER_WINDOW)
 
 
 def _keyword_stats(spark, sf) -> DataFrame:
     return stats.keyword_stats(stats.searches(tb.app_log(spark, sf)), DAY_WINDOW)
 
 
+# Reports read stats tables, which are partitioned by day.
+
+def _product_table(spark, sf) -> DataFrame:
+    return kept_table(spark, sf, "product_stats", (*ORDER_TABLES, "events"), lambda: _product_wide(spark, sf), by_day=True)
+
+
+def _province_table(spark, sf) -> DataFrame:
+    return kept_table(spark, sf, "province_stats", ORDER_TABLES, lambda: _province_stats(spark, sf), by_day=True)
+
+
+def _visitor_table(spark, sf, window: str) -> DataFrame:
+    return kept_table(spark, sf, f"visitor_stats_{window.replace(' ', '_')}", ("events",), lambda: _visitor_stats(spark, sf, window), by_day=True)
+
+
+def _keyword_table(spark, sf) -> DataFrame:
+    return kept_table(spark, sf, "keyword_stats", ("events",), lambda: _keyword_stats(spark, sf), by_day=True)
+
+
 @query
 def visitor_stats(spark, sf):
     return _visitor_stats(spark, sf, DAY_WINDOW)
@@ -366,33 +392,39 @@ def keyword_stats(spark, sf):
 
 @query
 def report_gmv(spark, sf):
-    return reports.gmv(_product_wide(spark, sf), ORDER_DATE)
+    return reports.gmv(_product_table(spark, sf), ORDER_DATE)
+
+
+@query
+def report_gmv_today(spark, sf):
+    """Without a date a report is about today."""
+    return reports.gmv(_product_table(spark, sf), reports.today(spark))
 
 
 @query
 def report_gmv_by_day(spark, sf):
-    return reports.gmv(_product_wide(spark, sf))
+    return reports.gmv(_product_table(spark, sf))
 
 
 @query
 def report_brand(spark, sf):
-    return reports.brand_gmv(_product_wide(spark, sf), ORDER_DATE)
+    return reports.brand_gmv(_product_table(spark, sf), ORDER_DATE)
 
 
 @query
 def report_brand_by_day(spark, sf):
-    return reports.brand_gmv(_product_wide(spark, sf))
+    return reports.brand_gmv(_product_table(spark, sf))
 
 
 @query
 def report_brand_all(spark, sf):
-    return reports.brand_gmv_all(_product_wide(spark, sf), ORDER_DATE)
+    return reports.brand_gmv_all(_product_table(spark, sf), ORDER_DATE)
 
 
 @query
 def report_brand_series(spark, sf):
     """The brand ranking as one row of two lists."""
-    top = reports.brand_gmv(_product_wide(spark, sf), ORDER_DATE)
+    top = reports.brand_gmv(_product_table(spark, sf), ORDER_DATE)
     lists = reports.series(top, "tm_name", "order_amount")
     amounts = F.transform("series", lambda v: v.cast("decimal(16,2)").cast("string"))
     return lists.select(  # a day without turnover has no lists
@@ -402,64 +434,64 @@ def report_brand_series(spark, sf):
 
 @query
 def report_category3(spark, sf):
-    return reports.category3_gmv(_product_wide(spark, sf), ORDER_DATE)
+    return reports.category3_gmv(_product_table(spark, sf), ORDER_DATE)
 
 
 @query
 def report_category3_by_day(spark, sf):
-    return reports.category3_gmv(_product_wide(spark, sf))
+    return reports.category3_gmv(_product_table(spark, sf))
 
 
 @query
 def report_spu(spark, sf):
-    return reports.spu_gmv(_product_wide(spark, sf), ORDER_DATE)
+    return reports.spu_gmv(_product_table(spark, sf), ORDER_DATE)
 
 
 @query
 def report_spu_by_day(spark, sf):
-    return reports.spu_gmv(_product_wide(spark, sf))
+    return reports.spu_gmv(_product_table(spark, sf))
 
 
 @query
 def report_province(spark, sf):
-    return reports.name_value(reports.province_gmv(_province_stats(spark, sf), ORDER_DATE),
+    return reports.name_value(reports.province_gmv(_province_table(spark, sf), ORDER_DATE),
                               "province_name", "order_amount")
 
 
 @query
 def report_province_by_day(spark, sf):
-    return reports.province_gmv(_province_stats(spark, sf))
+    return reports.province_gmv(_province_table(spark, sf))
 
 
 @query
 def report_visitor_new(spark, sf):
     """Visitors by new flag for every day, with ratios."""
-    return reports.with_ratios(reports.visitors_by_new(_visitor_stats(spark, sf, DAY_WINDOW)))
+    return reports.with_ratios(reports.visitors_by_new(_visitor_table(spark, sf, DAY_WINDOW)))
 
 
 @query
 def report_visitor_new_old(spark, sf):
-    return reports.new_against_old(reports.visitors_by_new(_visitor_stats(spark, sf, DAY_WINDOW), VISITOR_DATE))
+    return reports.new_against_old(reports.visitors_by_new(_visitor_table(spark, sf, DAY_WINDOW), VISITOR_DATE))
 
 
 @query
 def report_visitor_hour(spark, sf):
-    return reports.full_day(reports.visitors_by_hour(_visitor_stats(spark, sf, HOUR_WINDOW), VISITOR_DATE))
+    return reports.full_day(reports.visitors_by_hour(_visitor_table(spark, sf, HOUR_WINDOW), VISITOR_DATE))
 
 
 @query
 def report_visitor_hour_by_day(spark, sf):
-    return reports.visitors_by_hour(_visitor_stats(spark, sf, HOUR_WINDOW))
+    return reports.visitors_by_hour(_visitor_table(spark, sf, HOUR_WINDOW))
 
 
 @query
 def report_keyword(spark, sf):
-    return reports.name_value(reports.keyword_scores(_keyword_stats(spark, sf), VISITOR_DATE), "keyword", "ct")
+    return reports.name_value(reports.keyword_scores(_keyword_table(spark, sf), VISITOR_DATE), "keyword", "ct")
 
 
 @query
 def report_keyword_by_day(spark, sf):
-    return reports.keyword_scores(_keyword_stats(spark, sf))
+    return reports.keyword_scores(_keyword_table(spark, sf))
 
 
 # --- scalar functions -----------------------------------------------------------

@@ -31,16 +31,6 @@ def visitor_stats(log: DataFrame, within: timedelta = visits.WITHIN, window: str
     return stats.visitor_stats(*visitor_inputs(log, within), window)
 
 
-def product_rows(log: DataFrame, favor: DataFrame, cart: DataFrame, orders: DataFrame, details: DataFrame,
-                 payments: DataFrame, refunds: DataFrame, comments: DataFrame, dims: wide.Dims, as_of,
-                 order_bounds: tuple[timedelta, timedelta] = (wide.ORDER_LOWER, wide.ORDER_UPPER),
-                 pay_bounds: tuple[timedelta, timedelta] = (wide.PAY_LOWER, wide.PAY_UPPER)) -> DataFrame:
-    """All seven product sources in the common shape."""
-    orders_wide = wide.order_wide(orders, details, dims, as_of, *order_bounds)
-    paid_wide = wide.payment_wide(payments, orders_wide, *pay_bounds)
-    return stats.product_rows(logs.page_log(log), favor, cart, orders_wide, paid_wide, refunds, comments)
-
-
 def stream_visitor_stats(stages: Stages, log: DataFrame, within: timedelta, window: str,
                          bounce_delay: str = "2 seconds", delay: str = "14 seconds") -> DataFrame:
     """The visitor chain on streams: flag repair, split, unique visits, bounces, statistics."""

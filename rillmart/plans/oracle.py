@@ -461,6 +461,9 @@ where rn <= {limit}"""
 
 
 oracle("report_gmv", f"select sum(order_amount)::double as gmv from pwide where {_ON_ORDER_DATE}")
+oracle("report_gmv_today", """
+select sum(order_amount)::double as gmv from pwide
+where stt[1:10] = strftime(now() at time zone 'UTC', '%Y-%m-%d')""")
 oracle("report_gmv_by_day", f"select {_DT}, sum(order_amount)::double as gmv from pwide group by dt")
 _BRAND = _top_sql("pwide", "tm_id, tm_name", "tm_name, tm_id", 10, _ON_ORDER_DATE)
 oracle("report_brand", _BRAND)

@@ -31,3 +31,36 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dated_reports_read_one_day_of_a_stored_table(spark):
+    for name in ("report_gmv", "report_brand", "report_brand_all", "report_category3", "report_spu", "report_province", "report_visitor_new_old",
+                 "report_visitor_hour", "report_keyword", "report_gmv_today"):
+        plan = _plan(QUERIES[name](spark, SF_DIR))
+        assert "PartitionFilters: [isnotnull(dt" in plan and "events.parquet" not in plan and "lineitem" not in plan, name
+
+
+def test_product_statistics_join_orders_and_details_once(spark):
+    QUERIES["payment_wide"](spark, SF_DIR)  # writes the wide orders
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(QUERIES["product_stats_wide"](spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange") <= 23 and "dwm_order_wide" in plan
+
+
+def test_kept_tables_follow_their_inputs(spark, tmp_path):
+    from rillmart.sinks.kept import kept_table
+
+    folder = str(tmp_path / "in")
+    spark.range(3).write.parquet(f"{folder}/t.parquet")
+    read = lambda: kept_table(spark, folder, "doubled", ("t",), lambda: spark.read.parquet(f"{folder}/t.parquet").selectExpr("id * 2 as id"))
+    assert sorted(r.id for r in read().collect()) == [0, 2, 4]
+    spark.range(3).write.mode("append").parquet(f"{folder}/t.parquet")
+    assert sorted(r.id for r in read().collect()) == [0, 0, 2, 2, 4, 4]
