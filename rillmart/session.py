@@ -31,10 +31,19 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **extra
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """All event times in this library are read in one zone: the session's."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
+    """A session whose zone is UTC, in which all event times of this library are read.
+
+    The caller's session is left as it is: with another zone a sibling session
+    with the caller's other settings is returned.
+    """
+    if spark.conf.get("spark.sql.session.timeZone") == "UTC":
+        return spark
+    sibling = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            sibling.conf.set(key, value)
+    sibling.conf.set("spark.sql.session.timeZone", "UTC")
+    return sibling
 
 
 _local_folder: str | None = None

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import money
@@ -239,12 +239,10 @@ def dim_province(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# The part types of the tables, in rank order.
-PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-
-
-def _type_id(part_type: str) -> Column:
-    return F.array_position(F.array(*[F.lit(t) for t in PART_TYPES]), F.col(part_type)).cast("string")
+def part_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(p_type, type_id): the part types found, numbered in order; a row per type."""
+    found = read_table(spark, sf_dir, "part").select("p_type").distinct()
+    return found.select("p_type", F.row_number().over(Window.orderBy("p_type")).cast("string").alias("type_id"))
 
 
 def _brand_id(brand: str) -> Column:
@@ -252,11 +250,11 @@ def _brand_id(brand: str) -> Column:
 
 
 def dim_sku(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "part").select(
+    return read_table(spark, sf_dir, "part").join(part_types(spark, sf_dir), "p_type", "left").select(
         F.col("p_partkey").cast("string").alias("id"),
         F.col("p_name").alias("sku_name"),
         money("p_retailprice").cast("string").alias("price"),
-        _type_id("p_type").alias("category3_id"),
+        F.col("type_id").alias("category3_id"),
         F.col("p_size").cast("string").alias("spu_id"),
         _brand_id("p_brand").alias("tm_id"),
     )
@@ -274,8 +272,7 @@ def dim_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_category3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "part").select(
-        _type_id("p_type").alias("id"), F.col("p_type").alias("name")).distinct()
+    return part_types(spark, sf_dir).select(F.col("type_id").alias("id"), F.col("p_type").alias("name"))
 
 
 def change_records(spark: SparkSession, sf_dir: str, read=read_table) -> DataFrame:

@@ -64,3 +64,21 @@ def test_kept_tables_follow_their_inputs(spark, tmp_path):
     assert sorted(r.id for r in read().collect()) == [0, 2, 4]
     spark.range(3).write.mode("append").parquet(f"{folder}/t.parquet")
     assert sorted(r.id for r in read().collect()) == [0, 0, 2, 2, 4, 4]
+
+
+def test_the_callers_zone_is_left_alone(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    other.conf.set("spark.sql.shuffle.partitions", "3")
+    rows = QUERIES["user_age"](other, SF_DIR)
+    assert other.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    assert rows.sparkSession.conf.get("spark.sql.session.timeZone") == "UTC" and rows.sparkSession.conf.get("spark.sql.shuffle.partitions") == "3"
+
+
+def test_any_part_types_are_numbered(spark, tmp_path):
+    from rillmart.sources import testbed as tb
+
+    spark.createDataFrame([(1, "n", "b1", "NEW KIND", 3, 1.0), (2, "m", "b2", "OTHER", 3, 2.0), (3, "o", "b2", None, 3, 2.0)],
+                          "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    ids = {r.id: r.category3_id for r in tb.dim_sku(spark, str(tmp_path)).collect()}
+    assert len(ids) == 3 and ids["1"] != ids["2"] and ids["3"] is None
