@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import backoff_lm, bagminhash, html_diff, licences, line_rules, mixing, multi_index, quality_model, sentencepiece_bpe, substring_dedup
 from .common import read
+from .oracle import ORACLES as ORACLES
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,5 +71,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_multi_index": op9_multi_index,
     "op10_mix_sources": op10_mix_sources,
 }
-
-ORACLES: dict[str, str] = {}
