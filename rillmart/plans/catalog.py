@@ -535,6 +535,11 @@ def stream_new_flag(spark, sf):
     return stages.table("log")
 
 
+def _log_stream(stages: Stages, spark, sf) -> DataFrame:
+    """The app log as a stream that ends with records of a far time, so that nothing stays open."""
+    return stages.ended(tb.app_log_stream(stages.session, sf), tb.log_end(spark, sf), "log")
+
+
 @query
 def stream_unique_visit(spark, sf):
     stages = Stages(spark, "unique-visit")
@@ -547,15 +552,15 @@ def stream_user_jump(spark, sf):
     """Bounces decided by the time the watermark has reached."""
     stages = Stages(spark, "user-jump")
     stages.run("jumps", short_log(
-        stateful.user_jump_stream(tb.app_log_stream(stages.session, sf), tb.BOUNCE_WITHIN)))
-    return stages.table("jumps")
+        stateful.user_jump_stream(_log_stream(stages, spark, sf), tb.BOUNCE_WITHIN)))
+    return stages.table("jumps").filter("event_id >= 0")
 
 
 @query
 def stream_visitor_stats(spark, sf):
-    """The whole visitor chain on streams; windows the watermark has passed."""
+    """The whole visitor chain on streams."""
     stages = Stages(spark, "visitor-stats")
-    return layers.stream_visitor_stats(stages, tb.app_log_stream(stages.session, sf), tb.BOUNCE_WITHIN, DAY_WINDOW)
+    return layers.stream_visitor_stats(stages, _log_stream(stages, spark, sf), tb.BOUNCE_WITHIN, DAY_WINDOW)
 
 
 @query
@@ -572,24 +577,28 @@ def stream_order_interval_join(spark, sf):
 def _stream_wide(spark, sf, label: str) -> Stages:
     stages = Stages(spark, label)
     s = stages.session
-    layers.stream_wide(stages, tb.order_info_stream(s, sf), tb.order_detail_stream(s, sf),
-                       tb.payment_info_stream(s, sf), layers.dims_from(s, sf), tb.AS_OF, ORDER_BOUNDS, PAY_BOUNDS)
+    orders, details, payments = (stages.ended(stream, last, name) for stream, last, name in zip(
+        (tb.order_info_stream(s, sf), tb.order_detail_stream(s, sf), tb.payment_info_stream(s, sf)),
+        tb.order_end(spark, sf), ("orders", "details", "payments"), strict=True))
+    layers.stream_wide(stages, orders, details, payments, layers.dims_from(s, sf), tb.AS_OF, ORDER_BOUNDS, PAY_BOUNDS)
     return stages
 
 
 @query
 def stream_payment_wide(spark, sf):
     """Orders, details and payments joined on streams, dimensions looked up."""
-    return plain(_stream_wide(spark, sf, "payment-wide").table("dwm_payment_wide"), "payment_create_at", "split_feight_fee")
+    rows = _stream_wide(spark, sf, "payment-wide").table("dwm_payment_wide").filter("order_id >= 0")
+    return plain(rows, "payment_create_at", "split_feight_fee")
 
 
 @query
 def stream_product_stats(spark, sf):
-    """Product statistics from the streams of pages, wide orders and wide payments."""
+    """Product statistics from the streams of all seven sources."""
     stages = _stream_wide(spark, sf, "product-stats")
-    rows = stats.product_rows(
-        logs.page_log(tb.app_log_stream(stages.session, sf)), orders=stages.stream("dwm_order_wide"),
-        payments=stages.stream("dwm_payment_wide"))
+    s = stages.session
+    favor, cart, refunds, comments = (f(s, sf, stream_table) for f in (tb.favor_info, tb.cart_info, tb.refund_info, tb.comment_info))
+    rows = stats.product_rows(logs.page_log(tb.app_log_stream(s, sf)), favor, cart, stages.stream("dwm_order_wide"),
+                              stages.stream("dwm_payment_wide"), refunds, comments)
     stages.run("product_stats", stats.product_stats(rows, ORDER_WINDOW))
     return plain(stages.table("product_stats"))
 
@@ -604,7 +613,7 @@ def stream_province_stats(spark, sf):
 @query
 def stream_keyword_stats(spark, sf):
     stages = Stages(spark, "keyword-stats")
-    found = stats.searches(tb.app_log_stream(stages.session, sf))
+    found = stats.searches(_log_stream(stages, spark, sf))
     stages.run("keyword_stats", stats.keyword_stats(found, DAY_WINDOW))
     return stages.table("keyword_stats")
 

@@ -197,7 +197,6 @@ def _product_cte(rows: list[str], width: str = "30 days") -> str:
 
 CTE["pstats"] = _product_cte(_PAGE_ROWS + _ORDER_ROWS + _PAID_ROWS + _REFUND_ROWS + _OTHER_ROWS)
 CTE["pstats_lines"] = _product_cte(_LINE_ROWS + _REFUND_ROWS)
-CTE["pstats_stream"] = _product_cte(_PAGE_ROWS + _ORDER_ROWS + _PAID_ROWS)
 CTE["pwide"] = "select pstats.*, sku.* exclude (sid) from pstats join sku on sku_id = sid"
 
 CTE["prstats"] = f"""
@@ -342,9 +341,7 @@ oracle("stream_unique_visit", f"select {_SHORT} from visits")
 oracle("user_jump_detail", f"select {_SHORT} from fates where fate <> 'killed'")
 oracle("user_jump_matched", f"select {_SHORT} from fates where fate = 'matched'")
 oracle("user_jump_timeout", f"select {_SHORT} from fates where fate = 'timeout'")
-oracle("stream_user_jump", f"""
-select {_SHORT} from fates
-where fate <> 'killed' and ts + {BOUNCE_MS} <= (select max(ts) - 2000 from log)""")
+oracle("stream_user_jump", f"select {_SHORT} from fates where fate <> 'killed'")
 
 # --- wide records ---------------------------------------------------------------------
 
@@ -419,25 +416,11 @@ _PRCOLS = """stt, edt, province_id, province_name, province_area_code, province_
 oracle("province_stats", f"select {_PRCOLS} from prstats")
 oracle("keyword_stats", "select * from kstats")
 
-# Streams show the windows their watermark has passed: the newest time less the delay.
-_PRODUCT_END = """(select greatest((select max(ts) from log where start is null), (select max((epoch_us(ots) // 1000)) from ow),
-                        (select max((epoch_us(pts) // 1000)) from pw)) - 2000)"""
-CTE["vstats_stream"] = _visitor_cte(
-    "1 days", f"fate <> 'killed' and page_fates.ts + {BOUNCE_MS} <= (select max(ts) - 2000 from pages)")
-ORDER.append("vstats_stream")
-
-
-def _closed(limit: str) -> str:
-    return f"(epoch_us(strptime(edt, '%Y-%m-%d %H:%M:%S')) // 1000) <= {limit}"
-
-
-oracle("stream_visitor_stats", f"select * from vstats_stream where {_closed('(select max(ts) - 14000 from pages)')}")
-oracle("stream_product_stats", f"select {_PCOLS} from pstats_stream where {_closed(_PRODUCT_END)}")
-oracle("stream_province_stats",
-       f"select {_PRCOLS} from prstats where {_closed('(select max((epoch_us(ots) // 1000)) - 2000 from ow)')}")
-oracle("stream_keyword_stats", f"""
-select * from kstats
-where {_closed("(select max(ts) - 2000 from log where last_page_id = 'search' and item is not null)")}""")
+# Streams end with records of a far time, so they show every window.
+oracle("stream_visitor_stats", "select * from vstats")
+oracle("stream_product_stats", f"select {_PCOLS} from pstats")
+oracle("stream_province_stats", f"select {_PRCOLS} from prstats")
+oracle("stream_keyword_stats", "select * from kstats")
 
 # --- reports ------------------------------------------------------------------------------
 

@@ -81,6 +81,35 @@ def app_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_of_events(stream_table(spark, sf_dir, "events"))
 
 
+# A time after all data.  Records of this time move the watermark past everything, so that all windows and timers close.
+END = "2100-01-01 00:00:00"
+
+
+def log_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last records of a log stream: two entries and a search of a visitor of their own, with negative event ids."""
+    like = app_log(spark, sf_dir)
+    end = F.unix_millis(F.lit(END).cast("timestamp"))
+    text, none = like.schema, F.lit(None)
+    rows = spark.range(3).select(
+        F.struct(F.lit("end").alias("mid"), *[F.lit("end").alias(c) for c in ("vc", "ch", "ar")], F.lit("0").alias("is_new")).alias("common"),
+        F.struct(F.lit("end").alias("page_id"), F.when(F.col("id") == 2, "search").alias("last_page_id"), F.lit("end").alias("item"),
+                 none.cast("string").alias("item_type"), F.lit(0).cast("bigint").alias("during_time")).alias("page"),
+        none.cast(text["displays"].dataType).alias("displays"), none.cast("string").alias("start"), (end + F.col("id")).alias("ts"),
+        (F.col("id") - 3).alias("event_id"))
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in text.fields])
+
+
+def order_end(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The last order, detail and payment of their streams: copies of the first ones with a negative id."""
+    def last(df: DataFrame, *ids: str) -> DataFrame:
+        end = F.lit(END).cast("timestamp")
+        first = df.orderBy("id").limit(1).withColumns({c: F.lit(-1).cast(df.schema[c].dataType) for c in ids})
+        return first.withColumns({"create_at": end, "create_time": stamp(end)})
+
+    return (last(order_info(spark, sf_dir), "id"), last(order_detail(spark, sf_dir), "id", "order_id"),
+            last(payment_info(spark, sf_dir), "id", "order_id"))
+
+
 def log_lines(log: DataFrame) -> DataFrame:
     """Log records as JSON lines, two in fifty spoiled: one cut short, one left empty."""
     text = F.to_json(F.struct("common", "page", "displays", "start", "ts"))
@@ -190,8 +219,8 @@ def payment_info_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payments_of(stream_table(spark, sf_dir, "orders"))
 
 
-def refund_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R").select(
+def refund_info(spark: SparkSession, sf_dir: str, read=read_table) -> DataFrame:
+    return read(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"),
         money("l_extendedprice").alias("refund_amount"),
@@ -200,22 +229,22 @@ def refund_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _sku_events(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+def _sku_events(spark: SparkSession, sf_dir: str, kind: str, read) -> DataFrame:
     moved = F.date_trunc("second", F.col("ts") - F.make_ym_interval(F.lit(EVENT_SHIFT_YEARS)))
-    return read_table(spark, sf_dir, "events").filter(F.col("event_type") == kind).select(
+    return read(spark, sf_dir, "events").filter(F.col("event_type") == kind).select(
         (F.col("event_id") % 200).alias("sku_id"), stamp(moved).alias("create_time"), moved.alias("create_at"), "value")
 
 
-def favor_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sku_events(spark, sf_dir, "click").drop("value")
+def favor_info(spark: SparkSession, sf_dir: str, read=read_table) -> DataFrame:
+    return _sku_events(spark, sf_dir, "click", read).drop("value")
 
 
-def cart_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sku_events(spark, sf_dir, "purchase").drop("value")
+def cart_info(spark: SparkSession, sf_dir: str, read=read_table) -> DataFrame:
+    return _sku_events(spark, sf_dir, "purchase", read).drop("value")
 
 
-def comment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sku_events(spark, sf_dir, "error").select(
+def comment_info(spark: SparkSession, sf_dir: str, read=read_table) -> DataFrame:
+    return _sku_events(spark, sf_dir, "error", read).select(
         "sku_id", F.when(F.col("value") > 50, "1201").otherwise("1202").alias("appraise"), "create_time", "create_at")
 
 

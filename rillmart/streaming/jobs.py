@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -16,7 +14,8 @@ class Stages:
 
     All jobs run in one sibling session with streaming settings; topics and
     checkpoints lie below one folder in shared storage.  Windows and timers the
-    watermark has not passed stay open, as they would in a running job.
+    watermark has not passed stay open, as they would in a running job; records
+    of a later time, added by ``ended``, close them.
     """
 
     def __init__(self, spark: SparkSession, label: str, folder: str | None = None,
@@ -32,6 +31,11 @@ class Stages:
     def checkpoint(self, topic: str) -> str:
         return f"{self.folder}/checkpoints/{topic}"
 
+    def ended(self, stream: DataFrame, last: DataFrame, name: str) -> DataFrame:
+        """A stream with last records of its own, which a table holds."""
+        last.select(*stream.columns).write.mode("overwrite").parquet(self.path(f"{name}-end"))
+        return stream.unionByName(self.session.readStream.schema(stream.schema).parquet(self.path(f"{name}-end")))
+
     def run(self, topic: str, stream: DataFrame) -> None:
         """Take in all there is and append it to a topic."""
         self.schemas[topic] = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema.fields])
@@ -44,11 +48,3 @@ class Stages:
     def table(self, topic: str) -> DataFrame:
         """What a stage wrote, as a table."""
         return self.reader.read.schema(self.schemas[topic]).parquet(self.path(topic))
-
-
-def drain(spark: SparkSession, build: Callable[[SparkSession], DataFrame], label: str,
-          folder: str | None = None) -> DataFrame:
-    """Run one streaming job until its input is used up and return what it appended."""
-    stages = Stages(spark, label, folder)
-    stages.run("out", build(stages.session))
-    return stages.table("out")
