@@ -542,7 +542,16 @@ def _log_stream(stages: Stages, spark, sf) -> DataFrame:
 
 @query
 def stream_unique_visit(spark, sf):
+    """The first visits of each day when the day closes."""
     stages = Stages(spark, "unique-visit")
+    stages.run("visits", short_log(stateful.unique_visit_by_day_stream(_log_stream(stages, spark, sf))))
+    return stages.table("visits").filter("event_id >= 0")
+
+
+@query
+def stream_unique_visit_live(spark, sf):
+    """The first visits of each day at once, with keyed state."""
+    stages = Stages(spark, "unique-visit-live")
     stages.run("visits", short_log(stateful.unique_visit_stream(tb.app_log_stream(stages.session, sf))))
     return stages.table("visits")
 

@@ -338,6 +338,7 @@ oracle("stream_log_topics", _TOPICS)
 _SHORT = "event_id, mid, is_new, page_id, ts"
 oracle("unique_visit", f"select {_SHORT} from visits")
 oracle("stream_unique_visit", f"select {_SHORT} from visits")
+oracle("stream_unique_visit_live", f"select {_SHORT} from visits")
 oracle("user_jump_detail", f"select {_SHORT} from fates where fate <> 'killed'")
 oracle("user_jump_matched", f"select {_SHORT} from fates where fate = 'matched'")
 oracle("user_jump_timeout", f"select {_SHORT} from fates where fate = 'timeout'")
