@@ -133,15 +133,15 @@ def scan(files: DataFrame, least: float = LEAST_COSINE, file_share: float = FILE
     rows = stored(rows.withColumn("directory_", directory(path)), "licence-matches")
     whole = m["best"].isNotNull() & (m["matched_words"] >= m["words"] * file_share)
     covering = rows.filter(whole).groupBy(F.col("directory_").alias("above")).agg(
-        F.min(F.struct(path.alias("file"), m["best"]["licence"].alias("licence"), m["best"]["score"].alias("score"))).alias("covering"))
+        F.min(F.struct(path.alias("file"), m["best"]["licence"].alias("licence"), m["best"]["score"].alias("score"))).alias("covering_"))
     parts = F.split("directory_", "/")
     steps = F.sequence(F.lit(0), F.size(parts))
     above = F.transform(steps, lambda k: F.struct(k.alias("depth"), F.array_join(F.slice(parts, 1, k), "/").alias("above")))
     # Joined once per directory, not per file: a directory with many files is one row here.
     places = rows.filter(m["best"].isNull()).select("directory_").distinct().select("directory_", F.inline(F.array_distinct(above)))
-    nearest = places.join(covering, "above").groupBy("directory_").agg(F.max_by("covering", "depth").alias("covering"))
+    nearest = places.join(covering, "above").groupBy("directory_").agg(F.max_by("covering_", "depth").alias("covering_"))
     joined = rows.join(nearest.withColumnRenamed("directory_", "inherits_"), (F.col("directory_") == F.col("inherits_")) & m["best"].isNull(), "left")
-    own, c = m["best"], F.col("covering")
+    own, c = m["best"], F.col("covering_")
     licence = F.struct(
         F.coalesce(own["licence"], c["licence"]).alias("licence"), F.coalesce(own["score"], c["score"]).alias("score"),
         F.when(own.isNotNull(), "own").when(c.isNotNull(), "inherited").otherwise("none").alias("basis"),

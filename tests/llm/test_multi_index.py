@@ -8,7 +8,7 @@ from rillmart.llm import multi_index
 
 from .conftest import CLASHING
 
-IS_QUERY = F.col("vec_id") % 20 == 0
+IS_QUERY = "vec_id % 20 = 0"
 
 
 def frame(spark, rows):
@@ -25,7 +25,7 @@ def brute(ids, x, q, n):
 
 def recall(spark, rows, n=20, **options):
     got = {}
-    for r in multi_index.search(frame(spark, rows), IS_QUERY, n, **options).collect():
+    for r in multi_index.search(frame(spark, rows), F.expr(IS_QUERY), n, **options).collect():
         got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
     ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float32).astype(float)
     place, hit, total = {int(i): k for k, i in enumerate(ids)}, 0, 0
@@ -80,7 +80,7 @@ def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1), (0, [1.0, 0.0], 1), (20, [0.0, 1.0], 1), (40, [0.0, 0.0], 1), (60, None, 1), (80, [1.0, None], 1), (100, [nan, 1.0], 1),
             (120, [inf, 1.0], 1), (140, [], 1), (160, [1.0, 2.0, 3.0], 1), (None, [1.0, 1.0], 1), (3, [2.0, 2.0], None), (1, [2.0, 2.0], 1), (2, [-1.0, 0.0], 1)]
-    got = [tuple(r) for r in multi_index.search(frame(spark, rows), IS_QUERY, 3).orderBy("query_id", "rank").collect()]
+    got = [tuple(r) for r in multi_index.search(frame(spark, rows), F.expr(IS_QUERY), 3).orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 1, 2.0), (0, 2, 3, 2.0), (0, 3, 20, 0.0), (20, 1, 1, 2.0), (20, 2, 3, 2.0), (20, 3, 0, 0.0)]
-    assert multi_index.search(frame(spark, rows).filter("false"), IS_QUERY).collect() == []
-    assert multi_index.search(frame(spark, rows[:1]), IS_QUERY).collect() == []
+    assert multi_index.search(frame(spark, rows).filter("false"), F.expr(IS_QUERY)).collect() == []
+    assert multi_index.search(frame(spark, rows[:1]), F.expr(IS_QUERY)).collect() == []
