@@ -19,9 +19,9 @@ from ..operators.upsert import as_text, upsert
 from ..session import use_utc
 from ..sinks import dims as dim_sink
 from ..sinks.kept import kept_table
-from ..sinks.topics import to_routed_topics
-from ..sources import testbed as tb
-from ..sources.tables import read_table, stream_table
+from ..sinks.topics import json_topic, tee, to_routed_topics
+from ..sources import changes, testbed as tb, topics
+from ..sources.tables import lookup, read_table, stream_table
 from ..streaming import refresh, stateful
 from ..streaming.jobs import Stages
 from . import layers
@@ -678,3 +678,82 @@ def stream_log_topics(spark, sf):
     return back.groupBy("sink_table").agg(
         F.count(F.lit(1)).alias("records"),
         F.sum(F.when(F.get_json_object("value", "$.item_type") == "sku_id", 1).otherwise(0)).alias("sku_records"))
+
+
+@query
+def stream_topic_table(spark, sf):
+    """Page records written to a topic of JSON lines, read back as a declared table and counted in SQL."""
+    stages = Stages(spark, "topic-table")
+    s = stages.session
+    pages = logs.page_log(tb.app_log_stream(s, sf)).select("page", "ts")
+    json_topic(pages, stages.path("dwd_page_log"), stages.checkpoint("dwd_page_log"), once=True).awaitTermination()
+    lines = topics.file_topic(spark, stages.path("dwd_page_log"), stream=False)
+    table = topics.topic_table(lines, "page map<string,string>, ts bigint", tf.event_time("ts"))
+    return spark.sql("""
+        select page['page_id'] as page_id, count(*) as records, count(page['item']) as with_item, min(unix_millis(rt)) as first_ts
+        from {t} group by page['page_id']""", t=table)
+
+
+@query
+def stream_tee(spark, sf):
+    """Raw log lines written to the topic and to a copy by day of arrival; both hold every line."""
+    stages = Stages(spark, "tee")
+    lines = tb.log_lines(tb.app_log_stream(stages.session, sf)).select("value")
+    tee(lines, stages.path("ods"), stages.path("daily"), stages.checkpoint("tee"), once=True).awaitTermination()
+    parts = [(where, spark.read.schema("value string").text(stages.path(where))) for where in ("ods", "daily")]
+    counts = [df.agg(F.lit(where).alias("copy"), F.count(F.lit(1)).alias("lines"), F.count_if(F.col("value") == "").alias("empty")) for where, df in parts]
+    return counts[0].unionByName(counts[1])
+
+
+@query
+def stream_snapshot_then_log(spark, sf):
+    """A table's snapshot and then its change log through one stream of lines; the newest image of each row is left."""
+    stages = Stages(spark, "snapshot-log")
+    snapshot = changes.snapshot_records(read_table(spark, sf, "customer"), "shop", "customer").withColumn("seq", F.lit(1))
+    log = tb.change_records(spark, sf).filter("topic = 'binlog.shop.customer' and op <> 'READ'").select(*snapshot.columns)
+    for name, rows in (("1-snapshot", snapshot), ("2-log", log)):
+        parsing.to_json_lines(rows).write.mode("append").text(stages.path("binlog"))
+    stages.run("records", changes.change_lines(stages.session, stages.path("binlog"), "initial"))
+    kinds = "topic string, op string, before map<string,string>, after map<string,string>, seq int"
+    records = stages.table("records").select(F.from_json("value", kinds).alias("r")).select("r.*")
+    env = parsing.change_envelope(records).withColumn("key", F.coalesce(F.col("after")["c_custkey"], F.col("before")["c_custkey"]))
+    left = routing.drop_deletes(routing.newest(env, "key", "seq"))
+    return left.select(F.col("key").cast("bigint").alias("c_custkey"), "type", F.col("after")["c_mktsegment"].alias("segment"))
+
+
+@query
+def stream_enrich(spark, sf):
+    """Orders joined, batch by batch, with dimension tables loaded anew for each batch."""
+    stages = Stages(spark, "enrich")
+    s = stages.session
+    users = stages.path("dims/user")
+    dim_sink.create_dim(s, users, "id,birthday,gender")
+    rows = tb.dim_user(spark, sf).select("id", "birthday", "gender", F.lit(1).alias("seq"))
+    dim_sink.append_changes(rows, users, 0, "id", "seq")
+    refresh.enrich(tb.order_info_stream(s, sf), lambda: dim_sink.read_dim(s, users, "id"),
+                   lambda batch, dim: wide.with_user(batch, dim, tb.AS_OF), stages.path("orders"), stages.checkpoint("orders"),
+                   once=True).awaitTermination()
+    return spark.read.parquet(stages.path("orders")).select(F.col("id").alias("order_id"), "user_id", "user_gender", "user_age")
+
+
+@query
+def dim_lookup(spark, sf):
+    """One dimension row by its key."""
+    return lookup(tb.dim_user(spark, sf), "id", 7)
+
+
+@query
+def stream_late_data(spark, sf):
+    """Records behind the watermark are left out: the first events, sent again after a far later record."""
+    stages = Stages(spark, "late")
+    log = tb.app_log(spark, sf)
+    once = logs.page_log(log).select("page", "ts", "event_id")
+    again = once.filter("event_id < 50")
+    schema = once.schema
+    for n, rows in enumerate((once, logs.page_log(tb.log_end(spark, sf)).select("page", "ts", "event_id"), again)):
+        rows.coalesce(1).write.parquet(stages.path(f"in/{n}"))
+        stream = stages.session.readStream.schema(schema).parquet(stages.path("in/*"))
+        timed = stream.withColumn("rt", tf.event_time("ts")).withWatermark("rt", "2 seconds")
+        counts = timed.groupBy(F.window("rt", DAY_WINDOW)).agg(F.count(F.lit(1)).alias("records"))
+        stages.run("counts", counts.select(tf.stamp("window.start").alias("stt"), "records"))
+    return stages.table("counts")

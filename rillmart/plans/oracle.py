@@ -528,3 +528,23 @@ select event_id, cast(strftime(ts, '%Y%m%d') as int) as yyyymmdd, cast(hour(ts)
 from events""")
 
 oracle("user_age", "select cast(uid as varchar) as id, birthday, user_gender as gender, user_age from usr")
+
+# --- sources and sinks --------------------------------------------------------------------
+
+oracle("stream_topic_table", """
+select page_id, count(*) as records, count(item) as with_item, min(ts) as first_ts from log where start is null group by page_id""")
+
+oracle("stream_snapshot_then_log", """
+select c_custkey, case when c_custkey % 3 = 0 then 'update' else 'insert' end as type,
+       case when c_custkey % 3 = 0 then 'UPDATED' else c_mktsegment end as segment
+from customer where c_custkey % 7 <> 0""")
+
+oracle("stream_enrich", "select id as order_id, user_id, user_gender, user_age from oi join usr on user_id = uid")
+oracle("dim_lookup", "select cast(uid as varchar) as id, birthday, user_gender as gender from usr where uid = 7")
+
+oracle("stream_late_data", f"""
+select stt, count(*) as records from (select {_win('1 days', 'ets')} from log where start is null) group by stt""")
+
+# Lines are cut short, left empty or whole; both copies hold all of them.
+oracle("stream_tee", """
+select unnest(['ods', 'daily']) as copy, n as lines, empty from (select count(*) as n, count(*) filter (event_id % 50 = 1) as empty from log)""")
