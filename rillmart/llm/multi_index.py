@@ -132,16 +132,21 @@ def _vectors(embeddings: DataFrame) -> DataFrame:
     return rows.filter(F.size("embedding") == (size[0]["n"] if size else 0))
 
 
-def _best(query_ids, queries, probed, ids, vectors, cells, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """The ``n`` best of these vectors (ascending ids) for each query, among the cells it probes."""
+def _floor(scores: np.ndarray, n: int) -> np.ndarray:
+    """What the ``n``-th best of each row reaches, less a margin for rounding; minus infinity where there are fewer."""
+    if scores.shape[1] < n:
+        return np.full(len(scores), -np.inf)
+    least = -np.partition(-scores, n - 1, axis=1)[:, n - 1]
+    return np.where(np.isfinite(least), least - 1e-9 * np.maximum(1.0, np.abs(least)), -np.inf)
+
+
+def _best(query_ids, queries, probed, floor, ids, vectors, cells, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The ``n`` best of these vectors (ascending ids) for each query, among the cells it probes and not below its floor."""
     score = queries @ vectors.T
     score[~probed[:, cells]] = -np.inf
     score[query_ids[:, None] == ids[None, :]] = -np.inf
-    k = min(n, len(ids))
-    least = -np.partition(-score, k - 1, axis=1)[:, k - 1]
-    # A margin for rounding; the exact products then decide, equal ones by id.
-    near = score >= (least - 1e-9 * np.maximum(1.0, np.abs(least)))[:, None] if len(ids) else score > 0
-    near &= score > -np.inf
+    # The exact products then decide, equal ones by id.
+    near = (score >= np.maximum(floor, _floor(score, n))[:, None]) & (score > -np.inf)
     row, col = np.nonzero(near)
     exact = (queries[row] * vectors[col]).sum(axis=1)
     order = np.lexsort((ids[col], -exact, row))
@@ -170,10 +175,12 @@ def search(embeddings: DataFrame, is_query: Column, neighbours: int = 20, most_s
     if not total:
         return spark.createDataFrame([], result)
     share = min(1.0, most_sample / total)
-    picked = indexed.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < math.ceil(share * 1_000_000)).select("embedding").toArrow()
-    # A fixed order, so that reruns fit the same index.
-    sample = _matrix(picked.column(0)) if picked.num_rows else _matrix(indexed.limit(1).select("embedding").toArrow().column(0))
-    index = fit(sample[np.lexsort(sample.T[::-1])], neighbours, recall=recall)
+    picked = indexed.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < math.ceil(share * 1_000_000)).toArrow()
+    picked = (picked if picked.num_rows else indexed.limit(1).toArrow()).sort_by("vec_id")  # reruns fit the same index
+    sample = _matrix(picked.column("embedding"))
+    index = fit(sample, neighbours, recall=recall)
+    # Sent once to each executor; at most ``most_sample`` vectors.
+    shared = spark.sparkContext.broadcast((picked.column("vec_id").to_numpy(), sample, index.cell(sample)))
 
     def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,9 +219,13 @@ def search(embeddings: DataFrame, is_query: Column, neighbours: int = 20, most_s
                 for cell in np.flatnonzero(probed.any(axis=0)):
                     wanted[shard_of[offset[cell]:offset[cell] + parts[cell]]] = True
                 to = np.flatnonzero(wanted)
-                packed = [np.asarray(block.column(0)).tobytes(), x.tobytes(), np.packbits(probed, axis=1).tobytes()]
+                ids = np.asarray(block.column(0))
+                # No list can end below what the sample's vectors in the probed cells already reach.
+                known, vectors, cells = shared.value
+                score = np.where(probed[:, cells] & (ids[:, None] != known[None, :]), x @ vectors.T, -np.inf)
+                packed = [ids.tobytes(), x.tobytes(), np.packbits(probed, axis=1).tobytes(), _floor(score, neighbours).tobytes()]
                 yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), *(pa.array([p] * len(to), pa.binary()) for p in packed)],
-                                                 names=["shard", "ids", "queries", "probed"])
+                                                 names=["shard", "ids", "queries", "probed", "floor"])
 
     def rank(left: pa.Table, right: pa.Table) -> pa.Table:
         found = []
@@ -222,14 +233,14 @@ def search(embeddings: DataFrame, is_query: Column, neighbours: int = 20, most_s
             order = np.argsort(left.column("vec_id").to_numpy())
             ids, cells = left.column("vec_id").to_numpy()[order], left.column("cell").to_numpy()[order]
             x = np.frombuffer(b"".join(left.column("vector").to_pylist())).reshape(-1, width)[order]
-            for q, queries, bits in zip(*(right.column(c) for c in ("ids", "queries", "probed")), strict=True):
+            for q, queries, bits, floor in zip(*(right.column(c) for c in ("ids", "queries", "probed", "floor")), strict=True):
                 q = np.frombuffer(q.as_py(), np.int64)
                 probed = np.unpackbits(np.frombuffer(bits.as_py(), np.uint8).reshape(len(q), -1), axis=1, count=index.cells).astype(bool)
-                found += _best(q, np.frombuffer(queries.as_py()).reshape(-1, width), probed, ids, x, cells, neighbours)
+                found += _best(q, np.frombuffer(queries.as_py()).reshape(-1, width), probed, np.frombuffer(floor.as_py()), ids, x, cells, neighbours)
         columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         return pa.table(dict(zip(("query_id", "vec_id", "score"), map(pa.array, columns), strict=True)))
 
-    queries = vectors.filter(is_query).mapInArrow(ask, "shard int, ids binary, queries binary, probed binary")
+    queries = vectors.filter(is_query).mapInArrow(ask, "shard int, ids binary, queries binary, probed binary, floor binary")
     dealt = placed.mapInArrow(deal, "shard int, cell int, vec_id long, vector binary")
     near = dealt.groupBy("shard").cogroup(queries.groupBy("shard")).applyInArrow(rank, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
