@@ -98,7 +98,8 @@ def line_rules(docs: DataFrame, least_texts: int = LEAST_TEXTS, least_share: flo
     """
     often = frequent_lines(docs, least_texts, least_share).withColumnRenamed("host", "host_").withColumnRenamed("lines", "often_")
     rows = docs.join(often, docs["source"].eqNullSafe(F.col("host_")), "left").drop("host_")
-    base = rows.withColumn("base_", base_counts(docs["text"]))
+    # Through explode, so that a filter on the outcome stays above and the counts are worked out once.
+    base = rows.select("*", F.explode(F.array(base_counts(docs["text"]))).alias("base_"))
     # Cut only where the host has frequent lines at all.
     cut = F.when(F.col("often_").isNotNull(), F.concat_ws("\n", F.filter(
         F.split(F.col("text"), "\n"),
