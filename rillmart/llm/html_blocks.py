@@ -8,7 +8,9 @@ from typing import NamedTuple
 
 # Names of HTML elements by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|iframe|svg|math|object|canvas|audio|video|textarea|select|title"
+RAW = "script|style|textarea|title"
+#: Elements whose content is no text of the page, as far as they are closed.
+OPAQUE = frozenset("noscript template iframe svg object canvas audio video select".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table "
@@ -26,7 +28,7 @@ CLOSED_BY_OWN = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr":
 SAME_KIND = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|([^\s=\"'/>]+)", re.S)
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
@@ -60,6 +62,22 @@ def _state(tag: str, raw: str, chrome: bool, level: int) -> tuple[bool, int]:
     return chrome or marked or hidden or page_header or tag in CHROME or role in CHROME_ROLES, level
 
 
+def _opaque_ends(tokens: list[re.Match[str]]) -> dict[int, int]:
+    """Start tags of opaque elements and their end tags, by place; one that is empty or never closed is not among them."""
+    opened: dict[str, list[int]] = {}
+    ends: dict[int, int] = {}
+    for i, m in enumerate(tokens):
+        tag = (m[3] or m[6] or "").lower()
+        if tag not in OPAQUE:
+            continue
+        if m[2] or m[5]:
+            if opened.get(tag):
+                ends[opened[tag].pop()] = i
+        elif not (m[4] or m[7] or "").rstrip().endswith("/"):
+            opened.setdefault(tag, []).append(i)
+    return ends
+
+
 def blocks(page: str) -> list[Block]:
     """All non-empty blocks: character references decoded, white space made one space, trimmed."""
     out: list[Block] = []
@@ -85,14 +103,22 @@ def blocks(page: str) -> list[Block]:
             if stack[i][0] in within:
                 return
 
-    at = 0
-    for m in _TOKEN.finditer(page):
+    at, hidden_to = 0, -1
+    tokens = list(_TOKEN.finditer(page))
+    ends = _opaque_ends(tokens)
+    for n, m in enumerate(tokens):
+        if n <= hidden_to:
+            at = m.end()
+            continue
         if m.start() > at:
             parts.append(page[at:m.start()])
         at = m.end()
         tag = (m[3] or m[6] or "").lower()
         if not tag:
             continue
+        if tag in OPAQUE:
+            hidden_to = ends.get(n, -1)
+            continue
         raw, block = m[4] or m[7] or "", tag in BLOCKS
         if block:
             end()

@@ -61,6 +61,15 @@ def test_broken_markup():
     assert main("<p>" + "w " * 200_000) == [("w " * 200_000).strip()]
 
 
+def test_only_closed_elements_hide_text():
+    for x in ("<svg/>", '<svg class="a" viewBox="0 0 1 1" />', "<math/>", "<iframe/>", "<video-player></video-player>", "<svg-icon></svg-icon>", "<title-bar></title-bar>",
+              "<select-box>", "<video src=a>", "<object>", "<svg>", "<canvas><video></video>", "<svg><svg><title>t</title></svg><p>x</p></svg>", "<iframe><p>x</p></iframe>"):
+        assert main(f"<article><p>one</p>{x}<p>two</p><p>three</p></article>") == ["one", "two", "three"], x
+    assert main("<p>If <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds <svg><text>no</text></svg>here.") == ["If x=2 holds here."]
+    assert main("<video><p>one</p><video>no</video><p>two</p>") == ["one", "two"]
+    assert main("<script>'<svg>'</script><p>one</p><!-- <svg> --><p>two</p><svg>no</svg>") == ["one", "two"]
+
+
 def rows_of(spark, rows):
     from pyspark.sql import functions as F
 
