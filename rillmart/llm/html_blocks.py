@@ -31,6 +31,8 @@ _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|([^\s=\"'/>]+)", re.S)
+#: Names that tell of a page's layout or of a post's topics, not of what an element is.
+_ABOUT = re.compile(r"(?<!\S)(?:has|no|with|without|category|tag)(?:[-_]|(?=[A-Z]))\S*")
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
@@ -50,11 +52,12 @@ def _attributes(raw: str) -> dict[str, str]:
 def _state(tag: str, raw: str, chrome: bool, level: int) -> tuple[bool, int]:
     """Whether an element is furniture, and its level, from its own markup and its parent's."""
     at = _attributes(raw) if "=" in raw or "hidden" in raw else {}
-    words = {w.lower() for w in _WORDS.findall(f"{at.get('class', '')} {at.get('id', '')}")} if at else set()
+    words = {w.lower() for w in _WORDS.findall(_ABOUT.sub("", f"{at.get('class', '')} {at.get('id', '')}"))} if at else set()
     role = at.get("role", "").lower() if at else ""
     marked = bool(words & CHROME_WORDS) and tag not in ("html", "body")
     own = 2 if tag == "article" or role == "article" or at.get("itemprop") == "articleBody" else 1 if tag == "main" or role == "main" else 0
-    if own and not marked:
+    if own and not (marked and (chrome or level == 2)):
+        # Words mark an article only within another one or within furniture, as with the comments of readers.
         # An article within furniture, such as a wrapper named after its sidebar, is no furniture itself.
         return (chrome and level > 0), max(level, own)
     hidden = "hidden" in at or at.get("aria-hidden") == "true" or "display:none" in at.get("style", "").replace(" ", "").lower()

@@ -86,11 +86,19 @@ def _middle(a: list[int], b: list[int]) -> list[int]:
     return [*_middle(a[:mid], b[:cut]), *(mid + i for i in _middle(a[mid:], b[cut:]))]
 
 
+def main_level(page: list[Block]) -> int:
+    """Level from which on blocks are main text: articles, unless a main part holds more text beside them; 0 without either."""
+    sizes = [0, 0, 0]
+    for b in page:
+        sizes[b.level] += 0 if b.chrome else len(b.text)
+    return 2 if sizes[2] and sizes[2] >= sizes[1] else 1 if sizes[1] else 0
+
+
 def main_lines(page: list[Block], neighbour: list[int] | None) -> list[str]:
     """The lines of the main text: the page's lines without shared ones, furniture, and what lies beside its article."""
-    best = max((b.level for b in page if not b.chrome), default=0)
+    best = main_level(page)
     shared = set(shared_lines(line_codes(page), neighbour)) if neighbour else set()
-    open_ = [i for i, b in enumerate(page) if not b.chrome and b.level == best]
+    open_ = [i for i, b in enumerate(page) if not b.chrome and b.level >= best]
     if best or len(shared.intersection(open_)) > COPY_SHARE * len(open_):
         # Lines of an article, or of a copy of the neighbour, are text even where the neighbour has them too.
         shared.difference_update(open_)

@@ -70,6 +70,21 @@ def test_only_closed_elements_hide_text():
     assert main("<script>'<svg>'</script><p>one</p><!-- <svg> --><p>two</p><svg>no</svg>") == ["one", "two"]
 
 
+def test_layout_and_topic_names_are_no_furniture():
+    for x in ("article class='post category-social'", "article class='post tag-notices'", "article class='teaser'", "main class='has-sidebar'", "main class='sidebar'",
+              "div id=content class='no-sidebar'", "div class='withSidebar without-comments'"):
+        assert main(f"<body class='sidebar'><{x}><p>one</p></{x.split()[0]}>") == ["one"], x
+    assert main("<div class='content-sidebar'><article class='category-social'><p>one</p></article></div>") == ["one"]
+    assert main("<article><p>one</p><article class='comment'>Reader</article></article><div id=comments><article class=comment>Reader</article></div>") == ["one"]
+    assert main("<p>one</p><div class='notice'>Notice</div><div class='sidebar no-print'>Side</div>") == ["one"]
+
+
+def test_main_text_lies_where_the_text_is():
+    card = "<article class='card'>other story</article>"
+    assert main(f"<div>Top</div><main><p>story of many more words</p>{card}</main>") == ["story of many more words", "other story"]
+    assert main("<div>Top</div><main><p>date</p><article>story of many more words</article></main>") == ["story of many more words"]
+
+
 def rows_of(spark, rows):
     from pyspark.sql import functions as F
 
