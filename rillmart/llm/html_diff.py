@@ -1,14 +1,15 @@
 """Main text of web pages by differencing each page with the page of the nearest URL on its host.
 
-Pages of a host are ordered by URL path; a page is paired with the neighbour whose path
-shares more leading segments.  Their text lines are aligned by longest common
-subsequence: lines both pages share belong to the template and are deleted.  What the
-markup itself calls furniture goes as well, and the body of an article stays even where
-a neighbour has the same sentence.
+Pages of a host are ordered by URL path; a page is paired with the nearest page of other
+text whose path shares more leading segments.  Their text lines are aligned by longest
+common subsequence: lines both pages share belong to the template and are deleted.  What
+the markup itself calls furniture goes as well.  Inside an article, and beside a page that
+is nearly a copy, a shared line goes only if it is common on the host.
 """
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
@@ -20,8 +21,11 @@ from xxhash import xxh3_64_intdigest
 from .common import buckets_for, stored
 from .html_blocks import Block, blocks
 
-#: A neighbour that shares more than this part of the open lines is a copy, and tells nothing about the template.
+#: Of a neighbour that shares more than this part of the open lines, only lines common on the host are taken for template.
 COPY_SHARE = 0.8
+#: A line is common on a host when this share of its distinct texts, and so many of them, hold it.
+COMMON_SHARE = 0.5
+COMMON_TEXTS = 3
 #: Pairs of equal lines up to which the alignment lists them all.
 LISTED_PAIRS = 200_000
 
@@ -95,13 +99,18 @@ def main_level(page: list[Block]) -> int:
 
 
 def main_lines(page: list[Block], neighbour: list[int] | None) -> list[str]:
-    """The lines of the main text: the page's lines without shared ones, furniture, and what lies beside its article."""
+    """The lines of the main text: the page's lines without shared ones, furniture, and what lies beside its article.
+
+    Codes of the neighbour's lines that are common on the host come inverted (~).
+    """
     best = main_level(page)
-    shared = set(shared_lines(line_codes(page), neighbour)) if neighbour else set()
+    codes = line_codes(page)
+    common = {~x for x in neighbour or () if x < 0}
+    shared = set(shared_lines(codes, [x if x >= 0 else ~x for x in neighbour])) if neighbour else set()
     open_ = [i for i, b in enumerate(page) if not b.chrome and b.level >= best]
     if best or len(shared.intersection(open_)) > COPY_SHARE * len(open_):
-        # Lines of an article, or of a copy of the neighbour, are text even where the neighbour has them too.
-        shared.difference_update(open_)
+        # Lines of an article, or of nearly a copy of the neighbour, are text where the neighbour has them too but few others do.
+        shared.difference_update(i for i in open_ if codes[i] not in common)
     return [page[i].text for i in open_ if i not in shared]
 
 
@@ -129,25 +138,77 @@ def _nearness(here: Column, there: Column) -> Column:
     return F.when(there["host"] == here["host"], F.when(differ > 0, differ - 1).otherwise(n)).otherwise(-1)
 
 
-def nearest_pages(pages: DataFrame) -> DataFrame:
-    """(row, near): for each page the neighbour in URL order on its host that shares the longer path; NULL without one.
-
-    Only keys are sorted.  Range partitions keep a large host in many tasks; each
-    partition's first and last row are handed to its neighbours.
-    """
+def page_lines(pages: DataFrame) -> DataFrame:
+    """(row, host, path, sig, lines, mains): per page the codes of its lines, of its main lines, and a hash of the latter."""
     url = F.coalesce(F.col("url"), F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)?([^?#]*)", 1)
-    keys = pages.select(F.struct(host.alias("host"), path.alias("path"), _row_key().alias("row")).alias("k")).distinct()
+
+    def parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines, sigs, mains = [], [], []
+            for x in batch.column(3).cast(pa.binary()):
+                page = blocks(_page_text(x))
+                best, codes = main_level(page), line_codes(page)
+                open_ = [c for b, c in zip(page, codes, strict=True) if not b.chrome and b.level >= best]
+                lines.append(codes)
+                sigs.append(xxh3_64_intdigest(array("q", open_).tobytes()) >> 1)
+                mains.append(list(dict.fromkeys(open_)))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(sigs, pa.int64()), pa.array(lines, pa.list_(pa.int64())), pa.array(mains, pa.list_(pa.int64()))],
+                names=["row", "host", "path", "sig", "lines", "mains"])
+
+    rows = pages.select(_row_key().alias("row"), host.alias("host"), path.alias("path"), "html")
+    return stored(rows.mapInArrow(parsed, "row long, host string, path string, sig long, lines array<long>, mains array<long>"), "page-lines")
+
+
+def common_lines(parsed: DataFrame) -> DataFrame:
+    """(h, often): per hash of a host the main lines that are common on it; no more than 1 / COMMON_SHARE times the mean number of lines."""
+    texts = parsed.groupBy(F.xxhash64("host").alias("h"), "sig").agg(F.first("mains").alias("mains"))
+    marked = texts.select("h", F.explode(F.concat("mains", F.array(F.lit(-1).cast("long")))).alias("line"))
+    counts = marked.groupBy("h", "line").agg(F.count(F.lit(1)).alias("n"))
+    # The line -1 stands for the text itself, so its count is the host's number of distinct texts.
+    counts = stored(counts.filter(F.col("n") >= COMMON_TEXTS), "page-line-counts")
+    hosts = counts.filter("line = -1").select("h", F.col("n").alias("texts"))
+    often = counts.filter("line >= 0").join(hosts, "h").filter(F.col("n") >= F.col("texts") * COMMON_SHARE)
+    # Written, so that the join below sees its size, and can split a large host where it is not sent to all.
+    return stored(often.groupBy("h").agg(F.sort_array(F.collect_list("line")).alias("often")), "common-lines")
+
+
+def _beside(keys: DataFrame, *part: str) -> DataFrame:
+    """Columns b and a: of each key the last before and the first after it that has another host or another text, in its part."""
+    k = F.col("k")
+
+    def beside(order: Column, name: str, df: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*part).orderBy(order) if part else Window.orderBy(order)
+        df = df.withColumn("last_", F.lag("k").over(w))
+        other = (F.col("last_")["host"] != k["host"]) | (F.col("last_")["sig"] != k["sig"])
+        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(name, F.last(F.when(other, F.col("last_")), ignorenulls=True).over(run)).drop("last_")
+
+    return beside(k.desc(), "a", beside(k.asc(), "b", keys))
+
+
+def nearest_pages(pages: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
+    """(row, near): for each page the neighbour in URL order on its host that shares the longer path; NULL without one.
+
+    Copies are passed over: the neighbour is the next page with other main lines.  Only
+    keys are sorted.  Range partitions keep a large host in many tasks; each partition's
+    outermost two runs of copies are handed to the others.
+    """
+    parsed = page_lines(pages) if parsed is None else parsed
+    keys = parsed.select(F.struct("host", "path", "row", "sig").alias("k")).distinct()
     parts = buckets_for(pages.sparkSession)
     placed = stored(keys.repartitionByRange(parts, "k").withColumn("part", F.spark_partition_id()), "urls")
-    order = Window.partitionBy("part").orderBy("k")
-    inner = placed.select("part", "k", F.lag("k").over(order).alias("before"), F.lead("k").over(order).alias("after"))
-    # A row per partition; as many rows as there are partitions.
-    edges = placed.groupBy("part").agg(F.min("k").alias("first"), F.max("k").alias("last"))
-    edges = edges.select("part", F.lag("last").over(Window.orderBy("part")).alias("edge_before"), F.lead("first").over(Window.orderBy("part")).alias("edge_after"))
+    inner = _beside(placed, "part")
+    # At most four rows per partition: its ends, and the ends of the runs next to those.
+    ends = inner.groupBy("part").agg(F.min("k").alias("first"), F.max("k").alias("last"), F.max("b").alias("b"), F.min("a").alias("a"))
+    ends = stored(ends, "url-ends")
+    edges = _beside(ends.select(F.explode(F.array("first", "last", "b", "a")).alias("k")).filter(F.col("k").isNotNull()).distinct())
+    edge_before = ends.join(edges, ends["first"] == edges["k"]).select("part", edges["b"].alias("edge_before"))
+    edge_after = ends.join(edges, ends["last"] == edges["k"]).select("part", edges["a"].alias("edge_after"))
     k = F.col("k")
-    both = inner.join(edges, "part").select(k, F.coalesce("before", "edge_before").alias("b"), F.coalesce("after", "edge_after").alias("a"))
+    both = inner.join(edge_before, "part").join(edge_after, "part").select(k, F.coalesce("b", "edge_before").alias("b"), F.coalesce("a", "edge_after").alias("a"))
     before, after = F.coalesce(_nearness(k, F.col("b")), F.lit(-1)), F.coalesce(_nearness(k, F.col("a")), F.lit(-1))
     near = F.when((before < 0) & (after < 0), F.lit(None)).when(before >= after, F.col("b.row")).otherwise(F.col("a.row"))
     return both.select(F.col("k.row").alias("row"), near.alias("near"))
@@ -161,15 +222,13 @@ def main_texts(pages: DataFrame) -> DataFrame:
     without a neighbour is judged by its markup alone.  An empty table gives an empty one.
     """
     pages = pages.select("page_id", "url", "html")
-
-    def codes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lines = [line_codes(blocks(_page_text(x))) for x in batch.column(1).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.list_(pa.int64()))], names=["near", "lines"])
-
-    near = nearest_pages(pages)
-    # A page stands beside two others at most, so no key of this join is frequent.
-    asked = pages.select(_row_key().alias("row"), "html").mapInArrow(codes, "near long, lines array<long>").dropDuplicates(["near"])
+    parsed = page_lines(pages)
+    marked = F.when(F.col("often").isNull(), F.col("lines")).otherwise(
+        F.transform("lines", lambda x: F.when(F.array_contains("often", x), F.bitwise_not(x)).otherwise(x)))
+    near = nearest_pages(pages, parsed)
+    # A page stands beside two runs of copies at most; of a run only its ends are asked for, but by all copies of the next.
+    asked = parsed.withColumn("h", F.xxhash64("host")).join(common_lines(parsed), "h", "left")
+    asked = asked.select(F.col("row").alias("near"), marked.alias("lines")).dropDuplicates(["near"])
     beside = near.join(asked, "near").select(F.col("row").alias("row_"), "lines")
 
     def texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -125,6 +125,47 @@ def test_pairs(spark):
     assert {x.row: x.near for x in html_diff.nearest_pages(pages).collect()} == want
 
 
+def test_copies_are_passed_over(spark):
+    """Against a plain scan; long runs of copies fill whole range partitions."""
+    r = random.Random(5)
+    rows, i = [], 0
+    for host in ("a", "b", "c"):
+        for _ in range(14):
+            text = r.randrange(3)
+            for _ in range(r.choice([1, 1, 2, 30])):
+                rows.append((i, f"http://{host}.org/{i // 7:03}/{i:04}", f"<article><p>text {text}</article><footer>{i}</footer>"))
+                i += 1
+    pages = rows_of(spark, rows)
+    row = {x.page_id: x.row for x in pages.select("page_id", html_diff._row_key().alias("row")).collect()}
+    parts = [(u.split("/")[2], u.split("/", 3)[3].split("/"), h.split("<footer>")[0]) for _, u, h in rows]
+    want = {}
+    for i, (host, path, text) in enumerate(parts):
+        def near(j):
+            return -1 if j is None else next((n for n, (x, y) in enumerate(zip(path, parts[j][1])) if x != y), 2)
+
+        b = next((j for j in range(i - 1, -1, -1) if parts[j][0] == host and parts[j][2] != text), None)
+        a = next((j for j in range(i + 1, len(parts)) if parts[j][0] == host and parts[j][2] != text), None)
+        want[row[i]] = None if a is None and b is None else row[b] if near(b) >= near(a) else row[a]
+    assert {x.row: x.near for x in html_diff.nearest_pages(pages).collect()} == want
+
+
+def test_differencing_inside_articles_and_beside_near_copies(spark):
+    page = "<body><article><p>Share this story</p><p>Story {}</p><p>{}</p><p>Read more</p></article>"
+    said = ["The same sentence", "The same sentence", "A third", "A fourth", "A fifth"]
+    rows = [(i, f"http://a.org/{i}", page.format(i, x)) for i, x in enumerate(said)]
+    # A copy at another address hides no template.
+    rows += [(10, "http://a.org/0/copy", page.format(0, said[0]))]
+    # A template of nearly all lines of a page without an article.
+    template = "<body>" + "".join(f"<div>Line {k}</div>" for k in range(9))
+    rows += [(20 + i, f"http://b.org/{i}", f"{template}<p>Story {i}</p>") for i in range(4)]
+    # Two texts alone do not tell what is common.
+    rows += [(30 + i, f"http://c.org/{i}", page.format(i, "x")) for i in range(2)]
+    got = {r.page_id: r.text.split("\n") for r in html_diff.main_texts(rows_of(spark, rows)).collect()}
+    assert [got[i] for i in range(5)] == [[f"Story {i}", x] for i, x in enumerate(said)] and got[10] == got[0]
+    assert [got[20 + i] for i in range(4)] == [[f"Story {i}"] for i in range(4)]
+    assert got[30] == ["Share this story", "Story 0", "x", "Read more"]
+
+
 def test_pages_hold_their_documents(spark):
     """The articles of the table are documents of the corpus, so each text must be one of them after its title."""
     folder = "/root/testdata/sf0.1"
