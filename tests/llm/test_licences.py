@@ -95,6 +95,35 @@ def test_tree(spark):
     assert result(licences.scan(files.filter("false"))) == []
 
 
+def test_wrapped_headers(spark):
+    """Headers as they stand in files, with comment marks and over several lines."""
+    gpl = ["you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by", "the Free Software Foundation{} either version {} of the License, or",
+           "(at your option) any later version."]
+    header = lambda mark, sep, version, name="General": "\n".join(
+        f"{mark} {x}" for x in ["Copyright (C) 2020 A. Body", "", f"This program is free software{':' if version == 3 else ';'} {gpl[0]}", gpl[1].replace("General", name),
+                               gpl[2].format(sep, version), gpl[3]])
+    apache = ("// Licensed under the Apache License, Version 2.0 (the\n// \"License\"); you may not use this file except in\n// compliance with the License.\n\nint main;")
+    rows = [("a/2.c", f"/*\n{header(' *', ';', 2)}\n */\nint x;\n"), ("a/3.py", f"{header('#', ',', 3)}\n\n{prose(8, 400)}"), ("a/l.lua", header("--", ",", 3, "Lesser General")),
+            ("a/a.txt", header("", ",", 3, "Affero General").replace("\n", "\r\n")), ("b/x.c", apache),
+            ("b/one.c", header("", ";", 2).replace("\n", " ").strip())]
+    got = {r[0]: r for r in result(licences.scan(files_of(spark, rows)))}
+    assert {p: r[1] for p, r in got.items()} == {"a/2.c": "GPL-2.0", "a/3.py": "GPL-3.0", "a/l.lua": "LGPL-3.0", "a/a.txt": "AGPL-3.0", "b/x.c": "Apache-2.0", "b/one.c": "GPL-2.0"}
+    assert all(r[3] == "own" for r in got.values())
+
+
+def test_whole_licence_files_cover(spark):
+    fulls = licence_texts.full_texts()
+    names = [n for n, _ in fulls]
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC"} <= set(names)
+    rows = [(f"{n}/LICENSE", f"Copyright (c) 2021 Some Body and others\n\n{t}") for n, t in fulls] + [(f"{n}/src/x.py", "plain") for n in names]
+    # Prose that speaks of licences, or holds a part of one, is none.
+    rows += [("part/notes", fulls[names.index("GPL-3.0")][1][5000:9000]), ("part/x", "plain"), ("part/long", prose(9, 5000))]
+    got = {r[0]: r for r in result(licences.scan(files_of(spark, rows)))}
+    assert {n: got[f"{n}/LICENSE"][1] for n in names} == {n: n for n in names} and all(got[f"{n}/LICENSE"][3] == "own" for n in names)
+    assert {n: got[f"{n}/src/x.py"][1:2] + got[f"{n}/src/x.py"][3:] for n in names} == {n: (n, "inherited", f"{n}/LICENSE") for n in names}
+    assert got["part/x"][3] == "none"
+
+
 def test_telling_terms_lose_nothing(spark, documents):
     """With every term telling, each sentence is compared: the result must be the same."""
     texts = licence_texts.templates()
