@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, words_of
+from .common import buckets_for, stored, words_of
 
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
@@ -31,10 +31,17 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     which the others share the rest rises until no source is above its stop.
     """
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    # One pre-aggregated row per source, ranked in one pass over the sources, not over documents.
-    rank = F.row_number().over(Window.orderBy(F.col("source").isNull(), F.col("source").cast("binary")))
-    weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (rank - 1) % len(WEIGHTS) + 1)
-    per = stored(per.withColumn("weight", weight), "sources")
+    # Ranked within ranges of sources, each range from the number of sources before it.
+    order = [F.col("source").isNull(), F.col("source").cast("binary")]
+    placed = per.repartitionByRange(buckets_for(per.sparkSession), *order).withColumn("part_", F.spark_partition_id())
+    placed = stored(placed, "source-ranges")
+    # A row per range.
+    before = F.sum("count").over(Window.orderBy("part_")) - F.col("count")
+    offsets = placed.groupBy("part_").count().select("part_", before.alias("before_"))
+    per = placed.join(offsets, "part_")
+    rank = F.col("before_") + F.row_number().over(Window.partitionBy("part_").orderBy(*order))
+    weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), ((rank - 1) % len(WEIGHTS) + 1).cast("int"))
+    per = stored(per.select("source", "source_size", weight.alias("weight")), "sources")
     cap = F.col("source_size") * MOST_REPEATS
     total = per.agg(F.sum("source_size")).first()[0] or 0
     level = 0.0

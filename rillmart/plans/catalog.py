@@ -751,7 +751,8 @@ def stream_late_data(spark, sf):
     again = once.filter("event_id < 50")
     schema = once.schema
     for n, rows in enumerate((once, logs.page_log(tb.log_end(spark, sf)).select("page", "ts", "event_id"), again)):
-        rows.coalesce(1).write.parquet(stages.path(f"in/{n}"))
+        # All files of a folder are new to one run, so they make one batch.
+        rows.write.parquet(stages.path(f"in/{n}"))
         stream = stages.session.readStream.schema(schema).parquet(stages.path("in/*"))
         timed = stream.withColumn("rt", tf.event_time("ts")).withWatermark("rt", "2 seconds")
         counts = timed.groupBy(F.window("rt", DAY_WINDOW)).agg(F.count(F.lit(1)).alias("records"))

@@ -75,3 +75,21 @@ def test_copies_are_emitted(documents):
 def test_one_source_and_ties(docs_of):
     rows, _, _ = check(docs_of([(i, "same words here", "s") for i in range(50)]))
     assert sum(r.taken for r in rows) == 150
+
+
+def test_many_sources_are_ranked_in_ranges(spark, monkeypatch):
+    plans, weights, kept = [], {}, mixing.stored
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        out = kept(df, label)
+        if label == "sources":
+            weights.update({r.source: r.weight for r in out.collect()})
+        return out
+
+    monkeypatch.setattr(mixing, "stored", noted)
+    names = [f"s{i * 7919 % 1000}" for i in range(300)] + ["", "\u00e9", "\U0001f600", "\uffff"]
+    mixing.source_targets(spark.createDataFrame([(s, 10) for s in [*names, None]], "source string, size long")).collect()
+    order = [*sorted(set(names), key=lambda s: s.encode()), None]
+    assert weights == {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(order)}
+    assert any("rangepartitioning" in p for p in plans)

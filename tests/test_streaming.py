@@ -265,3 +265,23 @@ def test_keep_running_starts_again(spark, feed, tmp_path):
     with pytest.raises(Exception):
         refresh.keep_running(lambda: start(feed.stream(spark).writeStream.foreachBatch(lambda d, i: 1 / 0),
                                            f"{tmp_path}/cp2", once=True), attempts=1, pause_seconds=0)
+
+
+def test_late_data_keeps_the_logs_partitions(spark, monkeypatch):
+    from pathlib import Path
+
+    from rillmart.plans import catalog
+
+    places, log = [], catalog.tb.app_log
+
+    class Noted(catalog.Stages):
+        def __init__(self, *a, **k):
+            super().__init__(*a, **k)
+            places.append(self.path("in/0"))
+
+    folder = "/root/testdata/sf0.001"
+    want = sorted(map(tuple, catalog.stream_late_data(spark, folder).collect()))
+    monkeypatch.setattr(catalog, "Stages", Noted)
+    monkeypatch.setattr(catalog.tb, "app_log", lambda *a: log(*a).repartition(3))
+    assert sorted(map(tuple, catalog.stream_late_data(spark, folder).collect())) == want
+    assert len(list(Path(places[0].removeprefix("file:")).glob("*.parquet"))) > 1
