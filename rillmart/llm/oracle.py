@@ -95,3 +95,14 @@ seeds as (select source, arg_min(k, struct_pack(miss := miss, k := k)) as seed f
 select doc_id, size, source_size, target, (size * (floor(rate)::bigint + case when u < rate - floor(rate) then 1 else 0 end))::bigint as taken
 from docs join targets on docs.source is not distinct from targets.source join seeds on docs.source is not distinct from seeds.source
      join draws on docs.rid = draws.rid and draws.k = seed"""
+
+ORACLES["op12_line_runs"] = r"""
+with docs as (select row_number() over () as rid, doc_id, coalesce(doc_id, 9223372036854775807) as id, coalesce(text, '') as text from documents),
+pairs as (select rid, id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos from docs),
+keyed as (
+  select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from pairs),
+judged as (select *, length(key) >= 10 and min(id) over (partition by key) < id as gone from keyed)
+select any_value(doc_id) as doc_id, count(*)::bigint as n_lines, count(*) filter (gone)::bigint as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
+from docs join judged using (rid) group by rid"""

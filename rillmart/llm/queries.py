@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import backoff_lm, bagminhash, html_diff, licences, line_rules, mixing, multi_index, quality_model, sentencepiece_bpe, substring_dedup
+from . import (
+    backoff_lm,
+    bagminhash,
+    html_diff,
+    licences,
+    line_rules,
+    line_runs,
+    mixing,
+    multi_index,
+    quality_model,
+    sentencepiece_bpe,
+    substring_dedup,
+)
 from .common import read
 from .oracle import ORACLES as ORACLES
 
@@ -59,6 +71,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.token_digests(read(spark, sf_dir, "documents"), piece_model())
 
 
+def op12_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_runs.line_report(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_lm_scores": op2_lm_scores,
@@ -70,4 +86,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_multi_index": op9_multi_index,
     "op10_mix_sources": op10_mix_sources,
+    "op12_line_runs": op12_line_runs,
 }
