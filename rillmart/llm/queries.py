@@ -16,6 +16,7 @@ from . import (
     line_runs,
     mixing,
     multi_index,
+    periodic_runs,
     quality_model,
     sentencepiece_bpe,
     substring_dedup,
@@ -71,6 +72,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.token_digests(read(spark, sf_dir, "documents"), piece_model())
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.runs_report(periodic_runs.with_planted_periods(read(spark, sf_dir, "documents")))
+
+
 def op12_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_runs.line_report(read(spark, sf_dir, "documents"))
 
@@ -86,5 +91,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_multi_index": op9_multi_index,
     "op10_mix_sources": op10_mix_sources,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_line_runs": op12_line_runs,
 }
