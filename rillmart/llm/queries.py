@@ -20,6 +20,7 @@ from . import (
     quality_model,
     sentencepiece_bpe,
     substring_dedup,
+    token_alignment,
 )
 from .common import read
 from .oracle import ORACLES as ORACLES
@@ -61,11 +62,15 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_diff.main_texts(read(spark, sf_dir, "pages"))
 
 
-def piece_model() -> str:
-    """Where the public tokenizer of the query lies; its place is a parameter of the operator."""
+def tokenizer_file(name: str) -> str:
+    """Where a public tokenizer lies; its place is a parameter of the operators."""
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
+
+
+def piece_model() -> str:
+    return tokenizer_file("piece_bpe_32k.model")
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +85,10 @@ def op12_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_runs.line_report(read(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_report(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), piece_model())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_lm_scores": op2_lm_scores,
@@ -93,4 +102,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mix_sources": op10_mix_sources,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_line_runs": op12_line_runs,
+    "op13_token_alignment": op13_token_alignment,
 }
