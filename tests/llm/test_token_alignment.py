@@ -44,7 +44,7 @@ def groups(libraries, text):
     if not text:
         return []
     one = a.encode(" " + text, add_special_tokens=False)
-    a_bytes = [bytes(BYTES[c] for c in t) for t in one.tokens]
+    a_ids, a_bytes = one.ids, [bytes(BYTES[c] for c in t) for t in one.tokens]
     ids = b.encode(text)
     b_bytes = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in ids]
     if b"".join(a_bytes) != b" " + text.encode() or b"".join(b_bytes) != b" " + text.encode():
@@ -53,7 +53,7 @@ def groups(libraries, text):
     out, i, j = [], 0, 0
     for end in sorted(set(ends_a.tolist()) & set(ends_b.tolist())):
         p, q = np.searchsorted(ends_a, end, "right"), np.searchsorted(ends_b, end, "right")
-        out.append((one.ids[i:p], ids[j:q]))
+        out.append((a_ids[i:p], ids[j:q]))
         i, j = p, q
     return out
 
