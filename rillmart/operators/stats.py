@@ -22,8 +22,9 @@ from .wide import Dims, with_product
 WINDOW = "10 seconds"
 
 
-def _watermarked(df: DataFrame, delay: str, column: str = "rt") -> DataFrame:
-    return df.withWatermark(column, delay) if df.isStreaming else df
+def _watermarked(df: DataFrame, delay: str | None, column: str = "rt") -> DataFrame:
+    """With a watermark on streams; no delay means that there is one already."""
+    return df.withWatermark(column, delay) if df.isStreaming and delay else df
 
 
 def _bounds() -> list[Column]:
@@ -118,7 +119,7 @@ def product_rows(pages: DataFrame | None = None, favor: DataFrame | None = None,
     return reduce(DataFrame.unionByName, parts)
 
 
-def product_stats(rows: DataFrame, window: str = WINDOW, delay: str = "2 seconds") -> DataFrame:
+def product_stats(rows: DataFrame, window: str = WINDOW, delay: str | None = "2 seconds") -> DataFrame:
     """Product counts and amounts per window and SKU, before the product names.
 
     First per (window, SKU, kind, order), where each order leaves one row, then
@@ -137,6 +138,13 @@ def product_stats(rows: DataFrame, window: str = WINDOW, delay: str = "2 seconds
     )
 
 
+def merge_product_stats(parts: DataFrame) -> DataFrame:
+    """Statistics of single sources added up; exact for the order counts too, as each kind of order is one source's."""
+    sums = [F.sum(m).alias(m) for m in (*COUNTS, *ORDER_KINDS)] + [F.sum(m).cast("decimal(26,2)").alias(m) for m in AMOUNTS]
+    return parts.groupBy("stt", "edt", "sku_id").agg(*sums, F.min("ts").alias("ts")).select(
+        "stt", "edt", "sku_id", *COUNTS, *AMOUNTS, *ORDER_KINDS, "ts")
+
+
 def product_stats_wide(stats: DataFrame, dims: Dims, how: str = "inner") -> DataFrame:
     """Product statistics with SKU, SPU, brand and category names, in table order.
 

@@ -23,7 +23,7 @@ from ..sinks.topics import json_topic, tee, to_routed_topics
 from ..sources import changes, testbed as tb, topics
 from ..sources.tables import lookup, read_table, stream_table
 from ..streaming import refresh, stateful
-from ..streaming.jobs import Stages
+from ..streaming.jobs import Replay, Stages
 from . import layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,8 @@ VISITOR_DATE = 20240105
 ORDER_DATE = 19980504  # start of a 30-day window
 ORDER_BOUNDS = (tb.ORDER_LOWER, tb.ORDER_UPPER)
 PAY_BOUNDS = (tb.PAY_LOWER, tb.PAY_UPPER)
+# How long a wide order waits for its details, and a wide payment for its wide order.
+WIDE_DELAY, PAID_DELAY = "5 days", "10 days"
 
 
 def query(fn: Query) -> Query:
@@ -602,14 +604,31 @@ def stream_payment_wide(spark, sf):
 
 @query
 def stream_product_stats(spark, sf):
-    """Product statistics from the streams of all seven sources."""
-    stages = _stream_wide(spark, sf, "product-stats")
+    """Product statistics of all seven sources over several batches, each source under its own watermark."""
+    stages = Stages(spark, "product-stats")
     s = stages.session
-    favor, cart, refunds, comments = (f(s, sf, stream_table) for f in (tb.favor_info, tb.cart_info, tb.refund_info, tb.comment_info))
-    rows = stats.product_rows(logs.page_log(tb.app_log_stream(s, sf)), favor, cart, stages.stream("dwm_order_wide"),
-                              stages.stream("dwm_payment_wide"), refunds, comments)
-    stages.run("product_stats", stats.product_stats(rows, ORDER_WINDOW))
-    return plain(stages.table("product_stats"))
+    replay = Replay(stages, 2)
+    log, orders = tb.app_log(spark, sf), tb.order_info(spark, sf)
+    placed = replay.cuts(orders, "create_at")
+    ends = dict(zip(("orders", "details", "payments"), tb.order_end(spark, sf), strict=True))
+    streams = {name: replay.add(name, f(spark, sf), "create_at", placed, ends.get(name)) for name, f in (
+        ("orders", tb.order_info), ("details", tb.order_detail), ("payments", tb.payment_info), ("favor", tb.favor_info),
+        ("cart", tb.cart_info), ("refunds", tb.refund_info), ("comments", tb.comment_info))}
+    pages = logs.page_log(replay.add("log", log, "ts", replay.cuts(log, "ts")))
+    dims, merged = layers.dims_from(s, sf), None
+    while replay.feed():
+        layers.stream_wide(stages, streams["orders"], streams["details"], streams["payments"], dims, tb.AS_OF, ORDER_BOUNDS, PAY_BOUNDS,
+                           WIDE_DELAY)
+        if merged is None:
+            merged = layers.product_sources(
+                stages, ORDER_WINDOW, {"orders": WIDE_DELAY, "payments": PAID_DELAY}, pages=pages, favor=streams["favor"], cart=streams["cart"],
+                orders=stages.stream("dwm_order_wide"), payments=stages.stream("dwm_payment_wide"), refunds=streams["refunds"],
+                comments=streams["comments"])
+        if replay.fed == replay.parts:
+            for source in merged.parts:
+                merged.beat(source, tb.END)
+        merged.run()
+    return plain(merged.table(), "dt")
 
 
 @query

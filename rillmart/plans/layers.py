@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import logs, stats, visits, wide
 from ..streaming import stateful
 from ..streaming.jobs import Stages
+from ..streaming.merged import MergedSources
 
 
 def visitor_inputs(log: DataFrame, within: timedelta) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -44,11 +45,28 @@ def stream_visitor_stats(stages: Stages, log: DataFrame, within: timedelta, wind
 
 
 def stream_wide(stages: Stages, orders: DataFrame, details: DataFrame, payments: DataFrame, dims: wide.Dims, as_of,
-                order_bounds: tuple[timedelta, timedelta], pay_bounds: tuple[timedelta, timedelta]) -> None:
-    """Orders with details and payments with orders, as topics ``dwm_order_wide`` and ``dwm_payment_wide``."""
+                order_bounds: tuple[timedelta, timedelta], pay_bounds: tuple[timedelta, timedelta], pay_delay: str = wide.IN_ORDER) -> None:
+    """Orders with details and payments with orders, as topics ``dwm_order_wide`` and ``dwm_payment_wide``.
+
+    Wide orders come when their details do, so over several batches ``pay_delay``
+    has to allow for the time an order may wait.
+    """
     stages.run("dwm_order_wide", wide.order_wide(orders, details, dims, as_of, *order_bounds))
     stages.run("dwm_payment_wide", wide.payment_wide(
-        payments, stages.stream("dwm_order_wide"), *pay_bounds))
+        payments, stages.stream("dwm_order_wide"), *pay_bounds, pay_delay))
+
+
+#: The seven sources of product statistics and the sums they add to.
+PRODUCT_SOURCES = ("pages", "favor", "cart", "orders", "payments", "refunds", "comments")
+
+
+def product_sources(stages: Stages, window: str, delays: dict[str, str], **sources: DataFrame) -> MergedSources:
+    """Product statistics with a watermark for each source; ``delays`` says how far each is out of order."""
+    merged = MergedSources(stages, "product_stats", lambda rows: stats.product_stats(rows, window, None), stats.merge_product_stats)
+    for name in PRODUCT_SOURCES:
+        if name in sources:
+            merged.add(name, stats.product_rows(**{name: sources[name]}), delays.get(name, "2 seconds"))
+    return merged
 
 
 def dims_from(spark: SparkSession, sf_dir: str) -> wide.Dims:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import new_folder, streaming_session
@@ -36,6 +37,11 @@ class Stages:
         last.select(*stream.columns).write.mode("overwrite").parquet(self.path(f"{name}-end"))
         return stream.unionByName(self.session.readStream.schema(stream.schema).parquet(self.path(f"{name}-end")))
 
+    def make_folder(self, path: str) -> None:
+        """So that a stream can be planned over a folder nothing has been written to yet."""
+        folder = self.session.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.session._jsparkSession.sessionState().newHadoopConf()).mkdirs(folder)
+
     def run(self, topic: str, stream: DataFrame) -> None:
         """Take in all there is and append it to a topic."""
         self.schemas[topic] = T.StructType([T.StructField(f.name, f.dataType) for f in stream.schema.fields])
@@ -48,3 +54,36 @@ class Stages:
     def table(self, topic: str) -> DataFrame:
         """What a stage wrote, as a table."""
         return self.reader.read.schema(self.schemas[topic]).parquet(self.path(topic))
+
+
+class Replay:
+    """Tables dealt into parts by time and fed one part after another, as topics that grow."""
+
+    def __init__(self, stages: Stages, parts: int) -> None:
+        self.stages, self.parts, self.fed = stages, parts, 0
+        self.tables: list[tuple[str, DataFrame, Column, DataFrame | None]] = []
+
+    def cuts(self, df: DataFrame, time: str) -> list:
+        """Times that cut a table's span into parts of equal length."""
+        low, high = df.agg(F.min(time), F.max(time)).first()
+        return [] if low is None else [low + (high - low) * k / self.parts for k in range(1, self.parts)]
+
+    def add(self, name: str, df: DataFrame, time: str, cuts: list, end: DataFrame | None = None) -> DataFrame:
+        """The stream of a table; ``end`` holds rows that come with the last part."""
+        part = sum([F.coalesce(F.col(time) >= F.lit(c), F.lit(False)).cast("int") for c in cuts], F.lit(0))
+        self.tables.append((name, df, part, None if end is None else end.select(*df.columns)))
+        path = self.stages.path(f"in/{name}")
+        self.stages.make_folder(path)
+        return self.stages.session.readStream.schema(df.schema).parquet(path)
+
+    def feed(self) -> bool:
+        """Write the next part of every table; false when there is none."""
+        if self.fed == self.parts:
+            return False
+        for name, df, part, end in self.tables:
+            rows = df.filter(part == self.fed)
+            if end is not None and self.fed + 1 == self.parts:
+                rows = rows.unionByName(end)
+            rows.write.mode("append").parquet(self.stages.path(f"in/{name}"))
+        self.fed += 1
+        return True

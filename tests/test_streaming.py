@@ -285,3 +285,55 @@ def test_late_data_keeps_the_logs_partitions(spark, monkeypatch):
     monkeypatch.setattr(catalog.tb, "app_log", lambda *a: log(*a).repartition(3))
     assert sorted(map(tuple, catalog.stream_late_data(spark, folder).collect())) == want
     assert len(list(Path(places[0].removeprefix("file:")).glob("*.parquet"))) > 1
+
+
+def test_each_source_has_its_own_watermark(spark, tmp_path):
+    """A silent source holds nobody, one that is years ahead makes nobody late, and a beat closes what a source left open."""
+    stages = Stages(spark, "test", folder=str(tmp_path / "out"), state_partitions=2)
+    schema = "sku_id bigint, create_time string, create_at timestamp"
+
+    def feed(name, *rows):
+        spark.createDataFrame([(sku, t) for sku, t in rows], "sku_id bigint, create_time string").withColumn(
+            "create_at", F.col("create_time").cast("timestamp")).write.mode("append").parquet(stages.path(f"in/{name}"))
+
+    def stream(name):
+        stages.make_folder(stages.path(f"in/{name}"))
+        return stages.session.readStream.schema(schema).parquet(stages.path(f"in/{name}"))
+
+    merged = layers.product_sources(stages, "10 seconds", {"cart": "1 hour"}, favor=stream("favor"), cart=stream("cart"), comments=stream("comments").withColumn(
+        "appraise", F.lit("1201")))
+
+    def got():
+        return sorted((r.stt, r.sku_id, r.favor_ct, r.cart_ct) for r in merged.table().collect())
+
+    feed("favor", (1, "2020-01-01 00:00:01"), (1, "2020-01-01 00:00:02"), (2, "2020-01-01 00:05:00"))
+    feed("cart", (1, "2030-01-01 00:00:00"))
+    merged.run()
+    assert got() == [("2020-01-01 00:00:00", 1, 2, 0)]
+    feed("favor", (None, "2020-01-01 00:10:00"), (1, "2020-01-01 00:00:03"))  # the second is late in its own source
+    feed("cart", (2, "2029-12-31 23:30:00"), (1, "2020-01-01 00:00:04"))  # the first is within the hour
+    merged.run()
+    assert got() == [("2020-01-01 00:00:00", 1, 2, 0), ("2020-01-01 00:05:00", 2, 1, 0)]
+    merged.beat("cart", "2031-01-01 00:00:00")
+    merged.beat("favor", "2031-01-01 00:00:00")
+    merged.run()
+    want = [("2020-01-01 00:00:00", 1, 2, 0), ("2020-01-01 00:05:00", 2, 1, 0), ("2020-01-01 00:10:00", None, 1, 0),
+            ("2029-12-31 23:30:00", 2, 0, 1), ("2030-01-01 00:00:00", 1, 0, 1)]
+    assert sorted(got(), key=str) == want
+    merged.run()
+    assert sorted(got(), key=str) == want
+
+
+def test_partial_sums_of_a_window_meet(spark, tmp_path):
+    """Two sources close the same window in different rounds; a batch of the merge that runs again changes nothing."""
+    stages = Stages(spark, "test", folder=str(tmp_path / "out"), state_partitions=2)
+    at = F.lit("2020-01-01 00:00:01").cast("timestamp")
+    one = spark.range(3).select(F.lit(1).cast("bigint").alias("sku_id"), at.alias("create_at"))
+    for name in ("favor", "cart"):
+        one.write.parquet(stages.path(f"in/{name}"))
+    streams = {n: stages.session.readStream.schema(one.schema).parquet(stages.path(f"in/{n}")) for n in ("favor", "cart")}
+    merged = layers.product_sources(stages, "10 seconds", {}, **streams)
+    for source, want in (("cart", (0, 3)), ("favor", (3, 3))):
+        merged.beat(source, "2021-01-01 00:00:00")
+        merged.run()
+        assert [(r.favor_ct, r.cart_ct) for r in merged.table().collect()] == [want]
