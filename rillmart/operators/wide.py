@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import MONEY
 from ..functions.timefns import age_years, moment, stamp_date, stamp_hour, to_millis
+from .asof import as_of_join
 from .joins import dim_join, flat_sku, interval_join
 
 ORDER_LOWER, ORDER_UPPER = timedelta(seconds=-5), timedelta(seconds=5)
@@ -84,6 +85,12 @@ def with_user(df: DataFrame, user: DataFrame, as_of, how: str = "inner") -> Data
     return joined.withColumn("user_age", age_years("user_birthday", as_of)).drop("user_birthday")
 
 
+def with_user_as_of(df: DataFrame, versions: DataFrame, as_of, how: str = "inner", time: str = "create_at") -> DataFrame:
+    """Add age and gender of the user as they were at the record's time, from versions with the time each became valid."""
+    joined = as_of_join(df, versions, "user_id", time, {"user_birthday": "birthday", "user_gender": "gender"}, how)
+    return joined.withColumn("user_age", age_years("user_birthday", as_of)).drop("user_birthday")
+
+
 def with_province(df: DataFrame, province: DataFrame, how: str = "inner") -> DataFrame:
     return dim_join(df, province, "province_id", {
         "province_name": "name", "province_area_code": "area_code",

@@ -17,7 +17,7 @@ from ..operators import logs, parsing, reports, routing, stats, visits, wide
 from ..operators.joins import interval_join
 from ..operators.upsert import as_text, upsert
 from ..session import use_utc
-from ..sinks import dims as dim_sink
+from ..sinks import dims as dim_sink, history
 from ..sinks.kept import kept_table
 from ..sinks.topics import json_topic, tee, to_routed_topics
 from ..sources import changes, testbed as tb, topics
@@ -755,6 +755,60 @@ def stream_enrich(spark, sf):
     return spark.read.parquet(stages.path("orders")).select(F.col("id").alias("order_id"), "user_id", "user_gender", "user_age")
 
 
+def _version_cuts(spark) -> list:
+    return [spark.sql(f"select timestamp '{tb.VERSION_CUT}'").first()[0]]
+
+
+@query
+def stream_enrich_as_of(spark, sf):
+    """Orders of two batches with their users as they were when the order was made; users change between and within them."""
+    stages = Stages(spark, "enrich-as-of")
+    s = stages.session
+    users, schema = stages.path("dims/user"), tb.user_versions(spark, sf, False).schema
+    replay = Replay(stages, 2)
+    orders = replay.add("orders", tb.order_info(spark, sf), "create_at", _version_cuts(spark))
+    while replay.feed():
+        history.append_versions(tb.user_versions(spark, sf, replay.fed == 2), users, replay.fed)
+        refresh.enrich(orders, lambda: history.read_versions(s, users, schema), lambda batch, known: wide.with_user_as_of(batch, known, tb.AS_OF),
+                       stages.path("enriched"), stages.checkpoint("enriched"), once=True).awaitTermination()
+    return spark.read.parquet(stages.path("enriched")).select(F.col("id").alias("order_id"), "user_id", "user_gender", "user_age")
+
+
+@query
+def order_user_as_of(spark, sf):
+    """The same as one batch plan over all versions."""
+    known = tb.user_versions(spark, sf, False).unionByName(tb.user_versions(spark, sf, True))
+    return wide.with_user_as_of(tb.order_info(spark, sf), known, tb.AS_OF).select(F.col("id").alias("order_id"), "user_id", "user_gender", "user_age")
+
+
+@query
+def stream_config_as_of(spark, sf):
+    """Changes of two batches routed by the config of their time; rules change between and within them."""
+    stages = Stages(spark, "config-as-of")
+    s = stages.session
+    replay = Replay(stages, 2)
+    early, late = (tb.config_versions(spark, after) for after in (False, True))
+    records = replay.add("changes", tb.order_changes(spark, sf), "made_at", _version_cuts(spark))
+    env = parsing.change_envelope(records)
+    rules = stages.path("rules")
+    stages.make_folder(stages.path("in/rules"))
+    while replay.feed():
+        # Changes of the config come on a stream of their own.
+        (early if replay.fed == 1 else late).write.mode("append").parquet(stages.path("in/rules"))
+        history.stream_versions(s.readStream.schema(early.schema).parquet(stages.path("in/rules")), rules, stages.checkpoint("rules"),
+                                once=True).awaitTermination()
+        refresh.db_split(env, lambda: history.read_versions(s, rules, early.schema), stages.path("facts"), stages.path("dims"),
+                         stages.checkpoint("split"), "seq", as_of="made_at", once=True).awaitTermination()
+    lines = spark.read.schema("value string, batch int, sink_table string").text(stages.path("facts"))
+    facts = lines.select("sink_table", F.from_json("value", "map<string,string>").alias("r"))
+    kept = dim_sink.read_dim(spark, f"{stages.path('dims')}/dim_orders", "o_orderkey")
+    row = F.create_map(F.lit("o_orderkey"), F.col("o_orderkey"), F.lit("o_orderdate"), F.col("o_orderdate"))
+    return facts.unionByName(kept.select(F.lit("dim_orders").alias("sink_table"), row.alias("r"))).select(
+        "sink_table", F.size("r").alias("n_columns"), F.col("r")["o_orderkey"].cast("bigint").alias("o_orderkey"),
+        F.col("r")["o_custkey"].cast("bigint").alias("o_custkey"), F.col("r")["o_totalprice"].cast("double").alias("o_totalprice"),
+        F.col("r")["o_orderdate"].alias("o_orderdate"))
+
+
 @query
 def dim_lookup(spark, sf):
     """One dimension row by its key."""

@@ -540,6 +540,21 @@ select c_custkey, case when c_custkey % 3 = 0 then 'update' else 'insert' end as
 from customer where c_custkey % 7 <> 0""")
 
 oracle("stream_enrich", "select id as order_id, user_id, user_gender, user_age from oi join usr on user_id = uid")
+_AS_OF = """
+select id as order_id, user_id, user_age,
+       cast((user_id + case when user_id % 3 = 0 and ots >= '1999-01-01' and not (user_id % 6 = 0 and ots >= '2000-07-01') then 1 else 0 end) % 2
+            as varchar) as user_gender
+from oi join usr on user_id = uid"""
+oracle("stream_enrich_as_of", _AS_OF)
+oracle("order_user_as_of", _AS_OF)
+
+oracle("stream_config_as_of", """
+select case when d < '1997-01-01' then 'dwd_orders' when d < '1999-06-01' then 'dwd_orders_priced' else 'dim_orders' end as sink_table,
+       case when d < '1997-01-01' then 2 when d < '1999-06-01' then 3 else 2 end as n_columns, o_orderkey,
+       case when d < '1997-01-01' then o_custkey end as o_custkey,
+       case when d >= '1997-01-01' and d < '1999-06-01' then o_totalprice::double end as o_totalprice,
+       case when d >= '1997-01-01' then strftime(d, '%Y-%m-%d %H:%M:%S') end as o_orderdate
+from (select *, o_orderdate as d from orders) where d < '1999-06-01' or d >= '2000-01-01'""")
 oracle("dim_lookup", "select cast(uid as varchar) as id, birthday, user_gender as gender from usr where uid = 7")
 
 oracle("stream_late_data", f"""

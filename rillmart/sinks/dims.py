@@ -34,7 +34,7 @@ def dim_schema(columns: str, key: str | None = None) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), n != pk) for n in names])
 
 
-def _complete(spark: SparkSession, folder: str, part: str) -> list[int]:
+def complete(spark: SparkSession, folder: str, part: str) -> list[int]:
     """Numbers of the finished subfolders ``<part>=<n>``."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{part}=*/_SUCCESS")
@@ -45,7 +45,7 @@ def _complete(spark: SparkSession, folder: str, part: str) -> list[int]:
 
 def create_dim(spark: SparkSession, path: str, columns: str, key: str | None = None) -> bool:
     """Make an empty table unless there is one; says whether it was made."""
-    if _complete(spark, f"{path}/base", "v"):
+    if complete(spark, f"{path}/base", "v"):
         return False
     spark.createDataFrame([], dim_schema(columns, key)).write.mode("overwrite").parquet(f"{path}/base/v=-1")
     return True
@@ -92,11 +92,11 @@ def append_changes(changes: DataFrame, path: str, batch_id: int, key: str, order
 
 def read_dim(spark: SparkSession, path: str, key: str) -> DataFrame:
     """The present state: the newest base with all later batches applied, columns added later included."""
-    versions = _complete(spark, f"{path}/base", "v")
+    versions = complete(spark, f"{path}/base", "v")
     if not versions:
         raise FileNotFoundError(f"no dimension table at {path}")
     base = spark.read.parquet(f"{path}/base/v={versions[-1]}")
-    later = [b for b in _complete(spark, f"{path}/changes", "batch") if b > versions[-1]]
+    later = [b for b in complete(spark, f"{path}/changes", "batch") if b > versions[-1]]
     if not later:
         return base
     folders = [f"{path}/changes/batch={b}" for b in later]
@@ -110,8 +110,8 @@ def compact(spark: SparkSession, path: str, key: str) -> int:
     What the base before it no longer needs is removed; that base and its changes
     stay for readers that have just opened them.
     """
-    batches = _complete(spark, f"{path}/changes", "batch")
-    versions = _complete(spark, f"{path}/base", "v")
+    batches = complete(spark, f"{path}/changes", "batch")
+    versions = complete(spark, f"{path}/base", "v")
     target = max([*batches, *versions])
     if target not in versions:
         read_dim(spark, path, key).write.mode("overwrite").parquet(f"{path}/base/v={target}")
@@ -135,7 +135,7 @@ def write_batch(routed: DataFrame, root: str, tables: dict[str, tuple[list[str],
     for table in sorted(touched & tables.keys()):
         columns, key = tables[table]
         append_changes(changed_columns(rows.filter(F.col("sinkTable") == table), columns, (order_by,)), f"{root}/{table}", batch_id, key, order_by)
-        if len(_complete(routed.sparkSession, f"{root}/{table}/changes", "batch")) >= compact_after:
+        if len(complete(routed.sparkSession, f"{root}/{table}/changes", "batch")) >= compact_after:
             compact(routed.sparkSession, f"{root}/{table}", key)
 
 

@@ -365,3 +365,50 @@ def routing(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:
     from ..schemas import ROUTING
 
     return spark.createDataFrame(rows or ROUTING_ROWS, ROUTING)
+
+
+#: Versions of the rule for orders, with the time each became valid and the change that made it.
+CONFIG_VERSIONS = [
+    ("orders", "insert", "kafka", "dwd_orders", "o_orderkey,o_custkey", None, None, "1900-01-01 00:00:00", "insert"),
+    ("orders", "insert", "kafka", "dwd_orders_priced", "o_orderkey,o_totalprice,o_orderdate", None, None, "1997-01-01 00:00:00", "update"),
+    ("orders", "insert", None, None, None, None, None, "1999-06-01 00:00:00", "delete"),
+    ("orders", "insert", "hbase", "dim_orders", "o_orderkey,o_orderdate", "o_orderkey", None, "2000-01-01 00:00:00", "insert"),
+]
+#: Where the parts of a stream that meets these versions, and those of users, are cut.
+VERSION_CUT = "1998-01-01 00:00:00"
+
+
+def config_versions(spark: SparkSession, after_cut: bool) -> DataFrame:
+    """The rules that change before or after ``VERSION_CUT``."""
+    from ..schemas import ROUTING
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ROUTING.fields)
+    rows = [r for r in CONFIG_VERSIONS if (r[7] >= VERSION_CUT) == after_cut]
+    return spark.createDataFrame(rows, f"{fields}, since string, change string").withColumn("since", F.col("since").cast("timestamp"))
+
+
+def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inserted orders as raw change records with their time ``made_at``."""
+    orders = read_table(spark, sf_dir, "orders")
+    made = F.col("o_orderdate")
+    text = orders.withColumns({"made_at": made, "o_orderdate": stamp("o_orderdate"), "o_totalprice": money("o_totalprice")})
+    return text.select(F.lit("binlog.shop.orders").alias("topic"), F.lit("CREATE").alias("op"), F.lit(None).cast("map<string,string>").alias("before"),
+                       row_map(text.drop("made_at")).alias("after"), F.lit(1).alias("seq"), "made_at")
+
+
+#: From when on which users are of the other gender, each third after the cut and each sixth back again.
+USER_CHANGES = [(3, "1999-01-01 00:00:00"), (6, "2000-07-01 00:00:00")]
+
+
+def user_versions(spark: SparkSession, sf_dir: str, after_cut: bool) -> DataFrame:
+    """Versions (id, birthday, gender, since) of the users: as they began, or their changes after ``VERSION_CUT``."""
+    users = dim_user(spark, sf_dir)
+    first = users.withColumn("since", F.lit("1900-01-01 00:00:00").cast("timestamp"))
+    if not after_cut:
+        return first
+    out, other = first.limit(0), F.when(F.col("gender") == "1", "0").otherwise("1")
+    for n, (every, since) in enumerate(USER_CHANGES):
+        changed = users.filter(F.col("id").cast("bigint") % every == 0)
+        changed = changed.withColumns({"gender": F.col("gender") if n % 2 else other, "since": F.lit(since).cast("timestamp")})
+        out = out.unionByName(changed)
+    return out

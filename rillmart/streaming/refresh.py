@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.query import StreamingQueryException
 
-from ..operators.routing import fact_changes, route_changes
+from ..operators.routing import fact_changes, route_as_of, route_changes
 from ..sinks.dims import COMPACT_AFTER, config_tables, create_dim, dim_schema, write_batch
 from ..sinks.topics import start
 
@@ -33,16 +33,19 @@ def enrich(stream: DataFrame, load: Callable[[], object], join: Callable[[DataFr
 
 
 def db_split(changes: DataFrame, load_config: Callable[[], DataFrame], facts_path: str, dims_root: str,
-             checkpoint: str, order_by: str, compact_after: int = COMPACT_AFTER, **run) -> StreamingQuery:
+             checkpoint: str, order_by: str, compact_after: int = COMPACT_AFTER, as_of: str | None = None, **run) -> StreamingQuery:
     """Route change envelopes by the present config: facts to text topics, dimension rows to their tables.
 
+    With ``as_of``, the name of the changes' time, the config is its versions
+    (``routing.route_as_of``) and each change goes by the one of its time.
+
     Facts go to ``<facts_path>/batch=<n>/sink_table=<topic>`` as JSON lines.
     Dimension tables are created when the config first names them.  The config is
     a short table, a row per source table and operation.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         config = load_config()
-        routed = route_changes(batch, config).persist()
+        routed = (route_as_of(batch, config, as_of) if as_of else route_changes(batch, config)).persist()
         try:
             fact_changes(routed).select(F.col("sinkTable").alias("sink_table"), F.to_json("after").alias("value")
                                         ).write.mode("overwrite").partitionBy("sink_table").text(
