@@ -80,6 +80,8 @@ def streaming_session(spark: SparkSession, state_partitions: int | None = None)
     sibling = spark.newSession()
     sibling.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # A commit uploads what changed, not the whole store.
+    sibling.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     partitions = state_partitions or spark.sparkContext.defaultParallelism
     sibling.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return sibling

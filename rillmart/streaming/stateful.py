@@ -1,8 +1,9 @@
 """Keyed-state operators on streams: new-flag repair, first visit of a day, bounces.
 
-State is kept per key by ``transformWithState`` (RocksDB).  The processors see
-only the ordering columns and the record as one struct; everything else stays
-column expressions.  Within a batch records are taken in event order.
+State is kept per key in RocksDB, one flag for a visitor or a visitor's day.  Only the
+earliest record of a key in each Arrow batch meets it; Python sees the ordering columns
+and the record as one text.  Bounces are a window aggregate without Python.  Within a
+batch records are taken in event order.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 import sys
 from datetime import timedelta
 
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -22,52 +25,40 @@ from ..operators.visits import WITHIN, entries
 
 ORDER = ["ts", "event_id"]
 
-# Processors travel to the workers as code, so these need no copy of the package.
+# Functions travel to the workers as code, so these need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-SALTS = 8
+#: Bounds a window of bounces spans, besides the one that it shares with the next.
+SPAN = 3
 
 
-def _place(row):
-    return row.ts, row.event_id
+def first_claim(key, frames, state):
+    """Marks the first candidate of a key; the state, one flag, never expires, as a visitor is new only once.
 
-
-class FirstClaim(StatefulProcessor):
-    """Marks the first candidate of a key; the state never expires, as a visitor is new only once.
-
-    Rows pass one by one: whichever of two is later cannot be the first.  Rows
-    that are no candidates any more pass unchanged.
+    Frames pass one by one: whichever of two candidates is later cannot be the
+    first.  Rows that are no candidates any more pass unchanged.
     """
-
-    def init(self, handle) -> None:
-        self.claimed = handle.getValueState("claimed", "claimed boolean")
-
-    def handleInputRows(self, key, rows, timerValues):
-        def out(row, first):
-            return Row(mid=row.mid, ts=row.ts, event_id=row.event_id, record=row.record, salt=row.salt, first=first)
-
-        best, seen = None, None
-        for row in rows:
-            if row.first and seen is None:
-                seen = self.claimed.exists()
-            if seen or not row.first:
-                yield out(row, False)
-            elif best is None:
-                best = row
-            else:
-                best, later = (best, row) if _place(best) <= _place(row) else (row, best)
-                yield out(later, False)
-        if best is not None:
-            self.claimed.update((True,))
-            yield out(best, True)
-
-    def close(self) -> None:
-        pass
+    seen, best = state.exists, None
+    for frame in frames:
+        frame = frame.copy()
+        if not seen and frame["first"].any():
+            open_ = frame[frame["first"]].sort_values(["ts", "event_id"])
+            frame["first"] = False
+            if best is None or tuple(open_.iloc[0][["ts", "event_id"]]) < tuple(best.iloc[0][["ts", "event_id"]]):
+                if best is not None:
+                    yield best.assign(first=False)
+                best, frame = open_.iloc[:1], frame.drop(index=open_.index[0])
+        else:
+            frame["first"] = False
+        yield frame
+    if best is not None:
+        state.update((True,))
+        yield best
 
 
 class FirstOfDay(StatefulProcessor):
-    """First record of a key within a day; the state goes when the watermark has passed the day."""
+    """First record of a key within a day; the state, one flag, goes when the watermark has passed the day."""
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -78,10 +69,10 @@ class FirstOfDay(StatefulProcessor):
             for _ in rows:
                 pass
             return
-        first = min(rows, key=_place)
+        first = min(rows, key=lambda r: (r.ts, r.event_id))
         self.seen.update((True,))
         self.handle.registerTimer((first.ts // DAY_MILLIS + 2) * DAY_MILLIS)
-        yield Row(mid=first.mid, day=first.day, ts=first.ts, event_id=first.event_id, rt=first.rt, record=first.record)
+        yield Row(record=first.record)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.seen.clear()
@@ -91,101 +82,77 @@ class FirstOfDay(StatefulProcessor):
         pass
 
 
-class EntryFates(StatefulProcessor):
-    """Decides entries once the watermark has passed their time bound.
-
-    Pending rows are those the watermark has not passed by the bound; a single
-    timer stands at the earliest of their deadlines.  Only an entry in its own
-    slice carries its record, as JSON text.
-    """
-
-    def __init__(self, bound: int) -> None:
-        self.bound = bound
+def _record(log: DataFrame):
+    return F.struct(*[F.col(c) for c in log.columns]).alias("record")
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.pending = handle.getListState(
-            "pending", "ts bigint, event_id bigint, opens boolean, record string")
 
-    def handleInputRows(self, key, rows, timerValues):
-        fresh = [(r.ts, r.event_id, r.opens, r.record) for r in rows]
-        self.pending.appendList(fresh)
-        self.handle.registerTimer(min(r[0] for r in fresh) + self.bound)
-        return iter(())
+def _record_type(log: DataFrame) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in log.schema.fields])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        passed = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
-        rows = sorted(self.pending.get(), key=lambda r: (r[0], r[1]))
-        left = []
-        for i, (ts, event_id, opens, record) in enumerate(rows):
-            if ts + self.bound > passed:
-                left.append((ts, event_id, opens, record))
-            elif record is not None:
-                after = rows[i + 1] if i + 1 < len(rows) else None
-                if after is None or after[0] >= ts + self.bound:
-                    yield Row(record=record, fate="timeout")
-                else:
-                    yield Row(record=record, fate="matched" if after[2] else "killed")
-        if left:
-            self.pending.put(left)
-            self.handle.registerTimer(left[0][0] + self.bound)
-        else:
-            self.pending.clear()
 
-    def close(self) -> None:
-        pass
+def _mark_earliest(keys: list[str]):
+    """Adds ``first`` to Arrow batches: whether a row is the earliest of its keys in the batch.  Records stay Arrow data."""
+    def mark(batches):
+        for batch in batches:
+            def column(name):
+                return batch.column(batch.schema.get_field_index(name))
 
+            codes = [column(k).dictionary_encode().indices.to_numpy(zero_copy_only=False) for k in keys]
+            order = np.lexsort((*[column(c).to_numpy() for c in reversed(ORDER)], *codes))
+            new = np.zeros(len(order), bool)
+            new[:1] = True
+            for code in codes:
+                new[1:] |= code[order][1:] != code[order][:-1]
+            first = np.zeros(len(order), bool)
+            first[order[new]] = True
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first)], names=[*batch.schema.names, "first"])
 
-def _record(log: DataFrame):
-    return F.struct(*[F.col(c) for c in log.columns]).alias("record")
+    return mark
 
 
-def _record_type(log: DataFrame) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in log.schema.fields])
+def _marked(rows: DataFrame, keys: list[str]) -> DataFrame:
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
+    return rows.mapInArrow(_mark_earliest(keys), schema.add("first", "boolean"))
 
 
-def _salt(salts: int):
-    return F.pmod(F.xxhash64("event_id"), F.lit(salts)).cast("int").alias("salt")
+def _visitor() -> list:
+    """Key columns without NULL, and the places in order."""
+    return [F.coalesce("common.mid", F.lit("")).alias("mid"), F.col("common.mid").isNull().alias("nameless"),
+            *[F.coalesce(F.col(c), F.lit(-2 ** 63)).alias(c) for c in ORDER]]
 
 
-def repair_new_flag_stream(log: DataFrame, salts: int = SALTS) -> DataFrame:
+def repair_new_flag_stream(log: DataFrame) -> DataFrame:
     """Stream form of the flag repair; records that claim nothing bypass the state.
 
-    A visitor's claims are spread over ``salts`` keys first.  Only the first of
-    each can be the visitor's first: these meet under the visitor's own key, at
-    most ``salts`` of them ever, while the others keep to their salted keys.  So
-    a very busy visitor is never one task.
+    Within each Arrow batch of a task only the earliest claim of a visitor can be the
+    first, so only these meet the visitor's state: a very busy visitor sends a row
+    per batch there, and the rest of its claims are not shuffled at all.
     """
-    keyed = claims_new(log).select(
-        F.col("common.mid").alias("mid"), *ORDER, _record(log), _salt(salts), F.lit(True).alias("first"))
-    out = T.StructType([T.StructField(f.name, f.dataType) for f in keyed.schema.fields])
-
-    def mark(df: DataFrame, slot) -> DataFrame:
-        return df.withColumn("slot", slot).groupBy("mid", "slot").transformWithState(
-            statefulProcessor=FirstClaim(), outputStructType=out, outputMode="Append", timeMode="None")
-
-    spread = mark(keyed, F.col("salt"))
-    decided = mark(spread, F.when(F.col("first"), -1).otherwise(F.col("salt")))
-    flag = F.when(F.col("first"), "1").otherwise("0")
-    repaired = decided.select("record.*", "first").withColumn(
-        "common", F.col("common").withField("is_new", flag)).select(*log.columns)
-    return repaired.unionByName(log.filter(~F.col("common.is_new").eqNullSafe("1")))
+    marked = _marked(claims_new(log).select(*_visitor(), _record(log)), ["mid", "nameless"])
+    text = "mid string, nameless boolean, ts bigint, event_id bigint, record string, first boolean"
+    decided = marked.filter("first").withColumn("record", F.to_json("record")).groupBy("mid", "nameless").applyInPandasWithState(
+        first_claim, text, "claimed boolean", "append", "NoTimeout")
 
+    def flagged(rows: DataFrame, flag) -> DataFrame:
+        return rows.withColumn("common", F.col("common").withField("is_new", flag)).select(*log.columns)
 
-def unique_visit_stream(log: DataFrame, delay: str = "24 hours", salts: int = SALTS) -> DataFrame:
-    """Stream form of the daily unique visit: one record per (visitor, day), salted like the flag repair."""
-    timed = entries(log).withColumn("rt", event_time("ts")).withWatermark("rt", delay)
-    keyed = timed.select(
-        F.col("common.mid").alias("mid"), F.to_date("rt").cast("string").alias("day"), *ORDER, "rt", _record(log))
-    out = T.StructType([T.StructField(f.name, f.dataType) for f in keyed.schema.fields])
+    met = decided.select(F.from_json("record", _record_type(log)).alias("r"), "first").select("r.*", "first")
+    late = marked.filter(~F.col("first")).select("record.*")
+    repaired = flagged(met, F.when(F.col("first"), "1").otherwise("0")).unionByName(flagged(late, F.lit("0")))
+    return repaired.unionByName(log.filter(~F.col("common.is_new").eqNullSafe("1")))
 
-    def first_of(df: DataFrame, *keys: str) -> DataFrame:
-        return df.groupBy(*keys).transformWithState(
-            statefulProcessor=FirstOfDay(), outputStructType=out, outputMode="Append", timeMode="EventTime",
-            eventTimeColumnName="rt")
 
-    spread = first_of(keyed.withColumn("salt", _salt(salts)), "mid", "day", "salt")
-    return first_of(spread, "mid", "day").select("record.*")
+def unique_visit_stream(log: DataFrame, delay: str = "24 hours") -> DataFrame:
+    """Stream form of the daily unique visit: one record per (visitor, day), at once.
+
+    As in the flag repair only the earliest entry of each Arrow batch meets the state,
+    and moves the watermark.
+    """
+    rows = entries(log).select(*_visitor(), F.floor(F.col("ts") / DAY_MILLIS).alias("day"), event_time("ts").alias("rt"), _record(log))
+    marked = _marked(rows, ["mid", "nameless", "day"]).filter("first").withWatermark("rt", delay)
+    first = marked.withColumn("record", F.to_json("record")).groupBy("mid", "nameless", "day").transformWithState(
+        statefulProcessor=FirstOfDay(), outputStructType="record string", outputMode="Append", timeMode="EventTime")
+    return first.select(F.from_json("record", _record_type(log)).alias("r")).select("r.*")
 
 
 def unique_visit_by_day_stream(log: DataFrame, delay: str = "24 hours") -> DataFrame:
@@ -200,29 +167,36 @@ def unique_visit_by_day_stream(log: DataFrame, delay: str = "24 hours") -> DataF
     return first.select("record.*")
 
 
-def entry_fates_stream(log: DataFrame, within: timedelta = WITHIN, delay: str = "2 seconds",
-                       span: int = 30) -> DataFrame:
-    """Stream form of the entry fates, emitted once the watermark has passed the bound.
+def entry_fates_stream(log: DataFrame, within: timedelta = WITHIN, delay: str = "2 seconds", span: int = SPAN) -> DataFrame:
+    """Stream form of the entry fates, without Python and without timers.
 
-    Keys are (visitor, time slice) as in the batch form, so a backlog of one
-    visitor is worked off by many tasks.
+    A visitor's records are gathered in windows of ``span`` times the bound, each
+    long by one bound more, so that the next record within the bound of every entry
+    of a window is in it.  The state of a key is one such window, whatever the
+    backlog, and only entries hold their record; it goes, and the fates come, when
+    the watermark has passed the window: at most ``span + 1`` bounds and the delay
+    after the entry.
     """
     bound = within // timedelta(milliseconds=1)
     width = bound * span
+    own = F.col("ts") < F.unix_millis("slice.start") + width
+    opens = F.col("page.last_page_id").isNull()
     timed = log.withColumn("rt", event_time("ts")).withWatermark("rt", delay)
-    home = F.floor(F.col("ts") / width)
-    early = F.pmod("ts", F.lit(width)) < bound
-    keyed = timed.select(
-        F.col("common.mid").alias("mid"), *ORDER, F.col("page.last_page_id").isNull().alias("opens"), "rt",
-        F.to_json(_record(log)).alias("record"), home.alias("home"),
-        F.explode(F.when(early, F.array(home, home - 1)).otherwise(F.array(home))).alias("slice"),
-    )
-    own = F.col("opens") & (F.col("slice") == F.col("home"))
-    keyed = keyed.withColumn("record", F.when(own, F.col("record"))).drop("home")
-    decided = keyed.groupBy("mid", "slice").transformWithState(
-        statefulProcessor=EntryFates(bound), outputStructType="record string, fate string", outputMode="Append",
-        timeMode="EventTime")
-    return decided.select(F.from_json("record", _record_type(log)).alias("r"), "fate").select("r.*", "fate")
+    seen = timed.select(
+        F.window("rt", f"{width + bound} milliseconds", f"{width} milliseconds").alias("slice"), F.col("common.mid").alias("mid"), *ORDER,
+        opens.alias("opens"), _record(log))
+    step = F.struct(*ORDER, "opens", F.when(F.col("opens") & own, F.col("record")).alias("record"))
+    visits = seen.groupBy("slice", "mid").agg(F.collect_list(step).alias("steps"))
+
+    def fate(after):
+        late = after.isNull() | (after["ts"] >= F.col("step.ts") + bound)
+        return F.when(late, "timeout").when(after["opens"], "matched").otherwise("killed")
+
+    ordered = visits.select(F.sort_array("steps").alias("steps"))
+    paired = ordered.select(F.explode(F.transform("steps", lambda x, i: F.struct(
+        x.alias("step"), F.get(F.col("steps"), i + 1).alias("after")))).alias("p")).select("p.*")
+    entry = paired.filter(F.col("step.record").isNotNull())
+    return entry.select(F.col("step.record").alias("r"), fate(F.col("after")).alias("fate")).select("r.*", "fate")
 
 
 def user_jump_stream(log: DataFrame, within: timedelta = WITHIN, delay: str = "2 seconds",
