@@ -22,7 +22,12 @@ CHROME_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising adsense banner sponsor sponsored promo promotion promoted nav navbar "
     "navigation menu submenu breadcrumb breadcrumbs masthead footer sidebar aside widget related recommended recommendations share sharing "
     "social newsletter subscribe subscription signup login cookie cookies consent gdpr notice notices alert popup modal overlay comment "
-    "comments commentlist disqus reply replies respond pagination pager toolbar copyright disclaimer teaser outbrain taboola".split())
+    "comments commentlist disqus reply replies respond pagination pager toolbar copyright disclaimer teaser outbrain taboola feedback".split())
+#: Words that only say what shape a thing has: what stands before them says what it is.
+SHAPE_WORDS = frozenset(
+    "area bar block body bottom box button buttons card cards center col column container content count counter cta form grid group header heading "
+    "icon icons image img inline inner item items label large left link links list main mobile module outer panel post posts primary right row "
+    "secondary section slot small stories story strip tab tabs text thread title top unit widget wrap wrapper zone".split())
 #: Elements that a new element of the same kind closes.
 CLOSED_BY_OWN = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 SAME_KIND = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}
@@ -49,12 +54,25 @@ def _attributes(raw: str) -> dict[str, str]:
     return out
 
 
+def _names_furniture(names: str) -> bool:
+    """Whether a class or id is a word of furniture itself, and not only made of one: share-links is, share-prices is not."""
+    for name in names.split():
+        words = [w.lower() for w in _WORDS.findall(name)]
+        while len(words) > 1 and words[-1] in SHAPE_WORDS and words[-1] not in CHROME_WORDS:
+            words.pop()
+        if words and words[-1] in CHROME_WORDS:
+            return True
+    return False
+
+
 def _state(tag: str, raw: str, chrome: bool, level: int) -> tuple[bool, int]:
     """Whether an element is furniture, and its level, from its own markup and its parent's."""
     at = _attributes(raw) if "=" in raw or "hidden" in raw else {}
-    words = {w.lower() for w in _WORDS.findall(_ABOUT.sub("", f"{at.get('class', '')} {at.get('id', '')}"))} if at else set()
+    names = _ABOUT.sub("", f"{at.get('class', '')} {at.get('id', '')}") if at else ""
+    words = {w.lower() for w in _WORDS.findall(names)}
     role = at.get("role", "").lower() if at else ""
-    marked = bool(words & CHROME_WORDS) and tag not in ("html", "body")
+    # Inside the main part names are also about the matter of the text, so there the word has to be what is named.
+    marked = bool(words & CHROME_WORDS) and tag not in ("html", "body") and (not level or _names_furniture(names))
     own = 2 if tag == "article" or role == "article" or at.get("itemprop") == "articleBody" else 1 if tag == "main" or role == "main" else 0
     if own and not (marked and (chrome or level == 2)):
         # Words mark an article only within another one or within furniture, as with the comments of readers.
@@ -86,22 +104,29 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, bool, int]] = []
     chrome, level = False, 0
-    parts: list[str] = []
+    parts: list[tuple[str, bool]] = []
 
     def end() -> None:
+        """Close the block: its text, and apart from it what inline furniture it holds."""
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
-            if text:
-                out.append(Block(text, chrome, level))
+            for furniture in (False, True):
+                text = " ".join(html.unescape("".join([t for t, c in parts if c == furniture])).split())
+                if text:
+                    out.append(Block(text, furniture, level))
             parts.clear()
 
+    def enter(inner: tuple[bool, int]) -> None:
+        nonlocal chrome, level
+        if inner[1] != level:
+            end()
+        chrome, level = inner
+
     def close(kinds: tuple[str, ...], within: tuple[str, ...]) -> None:
         """Close the nearest open element of these kinds, not looking beyond ``within``."""
-        nonlocal chrome, level
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] in kinds:
                 del stack[i:]
-                chrome, level = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+                enter((stack[-1][1], stack[-1][2]) if stack else (False, 0))
                 return
             if stack[i][0] in within:
                 return
@@ -114,7 +139,7 @@ def blocks(page: str) -> list[Block]:
             at = m.end()
             continue
         if m.start() > at:
-            parts.append(page[at:m.start()])
+            parts.append((page[at:m.start()], chrome))
         at = m.end()
         tag = (m[3] or m[6] or "").lower()
         if not tag:
@@ -130,19 +155,17 @@ def blocks(page: str) -> list[Block]:
                 close((tag,), () if block else ("article", "main", "body"))
         elif tag in VOID:
             if tag == "br":
-                parts.append(" ")
+                parts.append((" ", chrome))
         else:
             if block and tag not in ("html", "head", "body"):
                 close(("p",), ("article", "main", "section", "div", "li", "td", "th", "blockquote", "body", "table"))
             if tag in CLOSED_BY_OWN:
                 close(SAME_KIND.get(tag, (tag,)), CLOSED_BY_OWN[tag])
             inner = _state(tag, raw, chrome, level)
-            if inner != (chrome, level):
-                end()
             if not raw.rstrip().endswith("/") or block:
                 stack.append((tag, *inner))
-                chrome, level = inner
+                enter(inner)
     if at < len(page):
-        parts.append(page[at:])
+        parts.append((page[at:], chrome))
     end()
     return out

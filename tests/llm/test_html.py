@@ -79,6 +79,27 @@ def test_layout_and_topic_names_are_no_furniture():
     assert main("<p>one</p><div class='notice'>Notice</div><div class='sidebar no-print'>Side</div>") == ["one"]
 
 
+def test_inline_furniture_goes_without_ending_the_block():
+    for x in ('<span class="share-links">Share this</span>', '<a class="ad">Buy now</a>', "<button>Click</button>", "<span hidden>secret</span>",
+              '<i aria-hidden="true">icon <b>deep</b></i>', '<span class="ad">never closed', '<label style="display: none">x</label>'):
+        assert main(f"<article><p>one {x} two</p><p>three</p></article>")[-1] == "three", x
+        want = ["one", "three"] if "never" in x else ["one two", "three"]
+        assert main(f"<article><p>one {x} two</p><p>three</p></article>") == want, x
+    assert main("<p>a<b>b</b>c <a class=ad>no</a>d<br>e</p>") == ["abc d e"]
+    assert main("<p>one <span role=article>two</span> three") == ["two"]
+    assert main("<article>one<span class=ad>no<p>no</p></span>two</article>") == ["one", "two"]
+
+
+def test_names_about_the_text_are_no_furniture():
+    for x in ("class='social-history'", "class='notice-of-death'", "class='reply-quote'", "class='share-prices'", "class='menu-of-the-day'", "id='navigation-at-sea'",
+              "id='cookie-recipe'", "class='adMinistration' id='menuPlan'"):
+        for tag in ("p", "h2", "div", "section", "table", "span"):
+            inner = "<tr><td>one</table>" if tag == "table" else f"one</{tag}>"
+            assert main(f"<article><{tag} {x}>{inner}<p>two</p></article>") in (["one", "two"], ["onetwo"]), (tag, x)
+    for x in ("id='user-feedback'", "class='share-links'", "class='cookie-banner'", "class='adUnit'", "class='post-share-buttons'", "id=comments", "class='x related-posts'"):
+        assert main(f"<article><p>one</p><div {x}>no</div><p>two</p></article>") == ["one", "two"], x
+
+
 def test_main_text_lies_where_the_text_is():
     card = "<article class='card'>other story</article>"
     assert main(f"<div>Top</div><main><p>story of many more words</p>{card}</main>") == ["story of many more words", "other story"]
