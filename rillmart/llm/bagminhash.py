@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import apart, stored
 from .components import components
 from .grams import gram_codes, group_starts, mix, pack_sorted, sizes_of, unpack_sorted, word_codes
 
@@ -280,6 +280,7 @@ def class_report(docs: DataFrame) -> DataFrame:
     return near_classes(docs).select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("is_first"), "n_shingles")
 
 
+@apart("doc_id", "text")
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each class, the one with the smallest id; of equal rows of that id one stays."""
     found = near_classes(docs).select(F.col("key").alias("key_"), F.col("doc_id").alias("doc_"), F.col("class_id").alias("class_"))

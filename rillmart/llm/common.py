@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,3 +39,19 @@ def buckets_for(spark: SparkSession, factor: int = 1) -> int:
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and use it in ``body``; a plain reference inside a lambda would be worked out per element."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def apart(*read_here: str) -> Callable:
+    """For an operator that hands on its caller's columns and reads those named: the others go under numbers, so that
+    none is taken for a column of the operator's own."""
+    def around(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(operator)
+        def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+            inner = {c: f"carried_{i}_" for i, c in enumerate(docs.columns) if c not in read_here}
+            out = operator(docs.select(*[F.col(f"`{c}`").alias(inner.get(c, c)) for c in docs.columns]), *args, **kwargs)
+            names = {i: c for c, i in inner.items()}
+            return out.select(*[F.col(c).alias(names.get(c, c)) for c in out.columns])
+
+        return run
+
+    return around

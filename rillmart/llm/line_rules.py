@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, let, stored, words_of
+from .common import SPACE_CLASS, apart, let, stored, words_of
 
 #: A line is too frequent in a host when more distinct texts than both of these hold it.
 LEAST_TEXTS = 20
@@ -124,6 +124,7 @@ def rules_report(docs: DataFrame) -> DataFrame:
         r["base_failed"].alias("base_failed"), r["kept"].alias("kept"), r["words_left"].alias("words_left"))
 
 
+@apart("doc_id", "text", "source", "n_chars")
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that pass, without their too frequent lines; n_chars follows the text."""
     r = F.col("rules_")

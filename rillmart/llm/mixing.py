@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import buckets_for, stored, words_of
+from .common import apart, buckets_for, stored, words_of
 
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
@@ -88,6 +88,7 @@ def mix_plan(docs: DataFrame) -> DataFrame:
         copies.cast("long").alias("copies"))).select(*[docs[c] for c in docs.columns], "mix_")
 
 
+@apart("doc_id", "text", "source")
 def mix(docs: DataFrame) -> DataFrame:
     """The mixture itself: every document as often as the plan takes it."""
     return mix_plan(docs).filter(F.col("mix_.copies") > 0).withColumn(

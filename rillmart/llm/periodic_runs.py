@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import let, words_of
+from .common import apart, let, words_of
 from .grams import gram_codes, group_starts, inside, sizes_of
 
 #: A run has at least so many words and so many periods.
@@ -289,6 +289,7 @@ def periodic_runs(docs: DataFrame) -> DataFrame:
         run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, start long, length long, period long")
 
 
+@apart("text", "n_chars")
 def collapse_runs(docs: DataFrame) -> DataFrame:
     """``docs`` with only the first period of every run left; all other columns stay, n_chars follows the text.
 

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import buckets_for
+from .common import apart, buckets_for
 from .grams import (
     Block,
     gram_codes,
@@ -257,6 +257,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
                       "doc_id long, start long, length long, source_doc long, source_start long")
 
 
+@apart("doc_id", "text", "n_chars")
 def cut_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """``docs`` without the repeated words; a text that loses words is its kept words joined by a space, n_chars follows."""
     names = docs.columns
