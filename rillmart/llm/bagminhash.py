@@ -37,7 +37,7 @@ BAND_ROWS = 4
 #: Bits of the sketches, in 64-bit words.
 SKETCH_WORDS = 8
 #: Shingles sketched at once.
-CHUNK = 1_000_000
+CHUNK = 400_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xD6E8FEB86659FD93)
