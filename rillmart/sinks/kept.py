@@ -1,9 +1,16 @@
-"""Results kept as tables in shared storage, under a name that holds the state of their inputs."""
+"""Results kept as tables in shared storage, under a name that holds the state of their inputs, of the code and of its bounds.
+
+Each builder writes a folder of its own below that name and readers take the first finished one, so sessions that build
+the same table at once do not meet.  Tables whose inputs grow by files are better kept by day (``days``).
+"""
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,18 +35,36 @@ def input_state(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> st
     return hashlib.sha256("\n".join(sorted(seen)).encode()).hexdigest()[:20]
 
 
+@cache
+def code_state() -> str:
+    """A digest of the sources that make tables: what older code has built is not served."""
+    here = Path(__file__).resolve().parent.parent
+    files = sorted(f for part in ("functions", "operators", "plans", "sources", "sinks") for f in (here / part).glob("*.py"))
+    seen = hashlib.sha256()
+    for f in [*files, here / "codes.py", here / "schemas.py"]:
+        seen.update(f.relative_to(here).as_posix().encode() + b"\0" + f.read_bytes() + b"\0")
+    return seen.hexdigest()[:12]
+
+
+def _finished(spark: SparkSession, folder: str) -> list[str]:
+    path, fs = _file_system(spark, f"{folder}/built-*/_SUCCESS")
+    return sorted(s.getPath().getParent().toString() for s in fs.globStatus(path) or [])
+
+
 def kept_table(spark: SparkSession, sf_dir: str, name: str, tables: tuple[str, ...], build: Callable[[], DataFrame],
-               by_day: bool = False) -> DataFrame:
+               by_day: bool = False, settings: tuple = ()) -> DataFrame:
     """The table ``name`` made by ``build`` from the input ``tables``; built when it is not there yet.
 
+    ``settings`` are the bounds ``build`` goes by; other ones make another table.
     With ``by_day`` it is a stats table, partitioned by the day of its windows.
     """
-    folder = f"{shared_folder(spark)}/tables/{name}-{input_state(spark, sf_dir, tables)}"
-    mark, fs = _file_system(spark, f"{folder}/_SUCCESS")
-    if not fs.exists(mark):
-        rows = build()
+    bounds = hashlib.sha256(repr(settings).encode()).hexdigest()[:8]
+    folder = f"{shared_folder(spark)}/tables/{name}-{input_state(spark, sf_dir, tables)}-{code_state()}-{bounds}"
+    if not (built := _finished(spark, folder)):
+        rows, own = build(), f"{folder}/built-{uuid.uuid4().hex}"
         if by_day:
-            save_stats(rows, folder, rows.columns, "overwrite")
+            save_stats(rows, own, rows.columns, "overwrite")
         else:
-            rows.write.mode("overwrite").parquet(folder)
-    return spark.read.parquet(folder)
+            rows.write.mode("overwrite").parquet(own)
+        built = [own]
+    return spark.read.parquet(built[0])
