@@ -17,6 +17,7 @@ from .. import codes, schemas
 from ..functions.numbers import MONEY
 from ..functions.text import explode_words
 from ..functions.timefns import event_time, moment, stamp, to_millis
+from .segment import words_of
 from .wide import Dims, with_product
 
 WINDOW = "10 seconds"
@@ -207,3 +208,18 @@ def keyword_stats(search: DataFrame, window: str = WINDOW, delay: str = "2 secon
         .agg(F.count(F.lit(1)).alias("ct"), F.min(F.unix_millis("rt")).alias("ts"))
         .select("keyword", "ct", F.lit(source).alias("source"), *_bounds(), "ts")
     )
+
+
+def keyword_stats_by_dictionary(search: DataFrame, dictionary: DataFrame, mode: str = "all", window: str = WINDOW, source: str = "search") -> DataFrame:
+    """How often each word by a dictionary (``segment``) was searched for per window; a batch plan.
+
+    Searches are counted per window and text first, so a text that everybody searches for is one row per window
+    when it meets its words.
+    """
+    asked = search.groupBy(F.window("rt", window).alias("window"), "keywords").agg(F.count(F.lit(1)).alias("asked"), F.min(F.unix_millis("rt")).alias("ts"))
+    found = words_of(search, "keywords", dictionary, mode)
+    return (
+        asked.join(found, "keywords").groupBy("window", F.col("word").alias("keyword"))
+        .agg(F.sum(F.col("asked") * F.col("times")).alias("ct"), F.min("ts").alias("ts"))
+        .select("keyword", "ct", F.lit(source).alias("source"), *_bounds(), "ts")
+    )

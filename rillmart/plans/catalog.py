@@ -16,8 +16,8 @@ from ..functions import timefns as tf
 from ..operators import logs, parsing, reports, routing, stats, visits, wide
 from ..operators.joins import interval_join
 from ..operators.upsert import as_text, upsert
-from ..session import use_utc
-from ..sinks import dims as dim_sink, history
+from ..session import new_folder, use_utc
+from ..sinks import buckets, days, dims as dim_sink, history
 from ..sinks.kept import kept_table
 from ..sinks.topics import json_topic, tee, to_routed_topics
 from ..sources import changes, testbed as tb, topics
@@ -163,6 +163,7 @@ def cdc_route_dim(spark, sf):
 
 
 DIM_COLUMNS = ["c_custkey", "c_name", "c_mktsegment"]
+DIM_BUCKETS = 8
 
 
 @query
@@ -174,6 +175,19 @@ def dim_upsert(spark, sf):
     return upsert(base, changes, "c_custkey", "seq")
 
 
+@query
+def dim_upsert_buckets(spark, sf):
+    """The same table dealt into hash buckets; each batch of changes reads and rewrites the buckets of its keys."""
+    path = new_folder(spark, "dim-buckets")
+    base = as_text(read_table(spark, sf, "customer").filter("c_acctbal >= 5000").select(
+        "c_custkey", "c_name", F.lit("STALE").alias("c_mktsegment")))
+    buckets.make_table(base, path, "c_custkey", DIM_BUCKETS)
+    routed = routing.map_columns(routing.dim_changes(_routed(spark, sf)), "dim_customer", DIM_COLUMNS, ("seq",))
+    for n, seq in enumerate((1, 2)):  # inserts, then updates; deletes are not routed
+        buckets.apply_changes(routed.filter(F.col("seq") == seq), path, n, "seq")
+    return buckets.read_table(spark, path)
+
+
 # --- app log ------------------------------------------------------------------
 
 @query
@@ -241,7 +255,7 @@ def _order_wide(spark, sf) -> DataFrame:
 
 def _kept_order_wide(spark, sf) -> DataFrame:
     """Wide orders as a table, as the streams hand them on: what is built on them reads them instead of joining again."""
-    return kept_table(spark, sf, "dwm_order_wide", ORDER_TABLES, lambda: _order_wide(spark, sf))
+    return kept_table(spark, sf, "dwm_order_wide", ORDER_TABLES, lambda: _order_wide(spark, sf), settings=ORDER_BOUNDS)
 
 
 def _payment_wide(spark, sf) -> DataFrame:
@@ -328,6 +342,12 @@ def _province_stats(spark, sf) -> DataFrame:
     return stats.province_stats(_kept_order_wide(spark, sf), ORDER_WINDOW)
 
 
+def _middle(df: DataFrame, time: str):
+    """The middle of a table's span of time."""
+    low, high = df.agg(F.min(time), F.max(time)).first()
+    return None if low is None else low + (high - low) / 2
+
+
 def _keyword_stats(spark, sf) -> DataFrame:
     return stats.keyword_stats(stats.searches(tb.app_log(spark, sf)), DAY_WINDOW)
 
@@ -335,19 +355,22 @@ def _keyword_stats(spark, sf) -> DataFrame:
 # Reports read stats tables, which are partitioned by day.
 
 def _product_table(spark, sf) -> DataFrame:
-    return kept_table(spark, sf, "product_stats", (*ORDER_TABLES, "events"), lambda: _product_wide(spark, sf), by_day=True)
+    return kept_table(spark, sf, "product_stats", (*ORDER_TABLES, "events"), lambda: _product_wide(spark, sf), by_day=True,
+                      settings=(ORDER_WINDOW, *ORDER_BOUNDS, *PAY_BOUNDS))
 
 
 def _province_table(spark, sf) -> DataFrame:
-    return kept_table(spark, sf, "province_stats", ORDER_TABLES, lambda: _province_stats(spark, sf), by_day=True)
+    return kept_table(spark, sf, "province_stats", ORDER_TABLES, lambda: _province_stats(spark, sf), by_day=True,
+                      settings=(ORDER_WINDOW, *ORDER_BOUNDS))
 
 
 def _visitor_table(spark, sf, window: str) -> DataFrame:
-    return kept_table(spark, sf, f"visitor_stats_{window.replace(' ', '_')}", ("events",), lambda: _visitor_stats(spark, sf, window), by_day=True)
+    return kept_table(spark, sf, f"visitor_stats_{window.replace(' ', '_')}", ("events",), lambda: _visitor_stats(spark, sf, window), by_day=True,
+                      settings=(window, tb.BOUNCE_WITHIN))
 
 
 def _keyword_table(spark, sf) -> DataFrame:
-    return kept_table(spark, sf, "keyword_stats", ("events",), lambda: _keyword_stats(spark, sf), by_day=True)
+    return kept_table(spark, sf, "keyword_stats", ("events",), lambda: _keyword_stats(spark, sf), by_day=True, settings=(DAY_WINDOW,))
 
 
 @query
@@ -390,6 +413,42 @@ def keyword_stats(spark, sf):
     return _keyword_stats(spark, sf)
 
 
+def _dictionary_stats(spark, sf, mode: str) -> DataFrame:
+    found = tb.named_searches(spark, sf)
+    return stats.keyword_stats_by_dictionary(found, tb.word_list(spark, sf), mode, DAY_WINDOW)
+
+
+@query
+def keyword_stats_dictionary(spark, sf):
+    """Keyword statistics with every dictionary word at every position."""
+    return _dictionary_stats(spark, sf, "all")
+
+
+@query
+def keyword_stats_longest(spark, sf):
+    """Keyword statistics with the longest dictionary words from left to right."""
+    return _dictionary_stats(spark, sf, "longest")
+
+
+@query
+def keyword_stats_days(spark, sf):
+    """Keyword statistics kept by day while files of events arrive; each arrival rebuilds the days its records are of."""
+    events = read_table(spark, sf, "events")
+    folder, path = new_folder(spark, "events-in"), new_folder(spark, "keyword-days")
+    arrived = days.Input("events", folder, lambda rows: F.array(tf.yyyymmdd("ts")))
+
+    def build(changed: list[int]) -> DataFrame:
+        log = tb.log_of_events(spark.read.schema(events.schema).parquet(folder).filter(days.in_days("ts", changed)))
+        return stats.keyword_stats(stats.searches(log), DAY_WINDOW)
+
+    for part in range(3):  # the last files hold records of all days
+        late = F.col("event_id") % 100 == 0
+        early = F.col("ts") < F.lit(_middle(events, "ts"))
+        events.filter((~late & early, ~late & F.coalesce(~early, F.lit(True)), late)[part]).write.mode("append").parquet(folder)
+        days.refresh(spark, path, [arrived], build, f"keywords {DAY_WINDOW}")
+    return days.read_days(spark, path).drop("dt")
+
+
 # --- reports ------------------------------------------------------------------
 
 @query

@@ -306,6 +306,7 @@ select cast(c_custkey as varchar) as c_custkey, c_name,
        case when c_custkey % 3 = 0 then 'UPDATED' else c_mktsegment end as c_mktsegment
 from customer"""
 oracle("dim_upsert", _DIM)
+oracle("dim_upsert_buckets", _DIM)
 oracle("stream_dim_upsert", _DIM)
 
 oracle("stream_dim_partial", """
@@ -416,6 +417,44 @@ _PRCOLS = """stt, edt, province_id, province_name, province_area_code, province_
        order_amount::double as order_amount, order_count, ts"""
 oracle("province_stats", f"select {_PRCOLS} from prstats")
 oracle("keyword_stats", "select * from kstats")
+oracle("keyword_stats_days", "select * from kstats")
+
+_SEARCHED = f"""
+with recursive dictionary as (
+  select distinct unnest([lower(p_name), split_part(lower(p_name), ' ', -1), split_part(lower(p_name), ' ', -1) || ' red',
+                          'red phone', 'phone case', 'phone case 3']) as word from part where p_name is not null),
+asked as (
+  select event_id, ts as ets, (epoch_us(ts) // 1000) as ms,
+         case when p_name is null then [item] else [lower(p_name) || ' ' || item, lower(p_name)] end as runs
+  from (select event_id, ts, user_id, 'red phone case ' || (event_id % 9) as item from events where event_type = 'error')
+  left join part on p_partkey = user_id),
+run_of as (select event_id, ets, ms, unnest(runs) as run, unnest(range(len(runs))) as r from asked),
+cut as (select *, string_split(run, ' ') as w from run_of),
+hit as (
+  select c.event_id, c.r, i, n, word from cut c, lateral (select unnest(range(1, len(w) + 1)) as i) a, lateral (select unnest(range(1, 6)) as n) b
+  join dictionary on word = array_to_string(w[i:i + n - 1], ' ') where i + n - 1 <= len(w)),
+"""
+_COUNTED = f"""
+select word as keyword, count(*) as ct, 'search' as source, {_win('1 days', 'ets')}, min(ms) as ts
+from found join cut using (event_id, r) group by word, stt, edt"""
+oracle("keyword_stats_dictionary", _SEARCHED + """
+found as (
+  select event_id, r, word from hit
+  union all
+  select event_id, r, w[j] from cut, lateral (select unnest(range(1, len(w) + 1)) as j) a
+  where not exists (select 1 from hit h where h.event_id = cut.event_id and h.r = cut.r and j between h.i and h.i + h.n - 1))
+""" + _COUNTED)
+oracle("keyword_stats_longest", _SEARCHED + """
+step as (select event_id, r, i, max(n) as n from hit group by all),
+path as (
+  select event_id, r, w, 1 as i from cut
+  union all
+  select p.event_id, p.r, p.w, p.i + coalesce(s.n, 1) from path p left join step s on s.event_id = p.event_id and s.r = p.r and s.i = p.i
+  where p.i <= len(p.w)),
+found as (
+  select p.event_id, p.r, array_to_string(p.w[p.i:p.i + coalesce(s.n, 1) - 1], ' ') as word
+  from path p left join step s on s.event_id = p.event_id and s.r = p.r and s.i = p.i where p.i <= len(p.w))
+""" + _COUNTED)
 
 # Streams end with records of a far time, so they show every window.
 oracle("stream_visitor_stats", "select * from vstats")

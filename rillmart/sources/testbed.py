@@ -412,3 +412,21 @@ def user_versions(spark: SparkSession, sf_dir: str, after_cut: bool) -> DataFram
         changed = changed.withColumns({"gender": F.col("gender") if n % 2 else other, "since": F.lit(since).cast("timestamp")})
         out = out.unionByName(changed)
     return out
+
+
+def named_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search texts (keywords, rt) that name a part before and after the searched item, where there is a part of the visitor's number."""
+    searched = read_table(spark, sf_dir, "events").filter("event_type = 'error'").select("event_id", "user_id", F.col("ts").alias("rt"))
+    names = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("user_id"), "p_name")
+    item = F.concat(F.lit("Red phone case "), (F.col("event_id") % 9).cast("string"))
+    return searched.join(names, "user_id", "left").select(
+        F.when(F.col("p_name").isNull(), item).otherwise(F.concat("p_name", F.lit(" "), item, F.lit(", "), F.upper("p_name"))).alias("keywords"), "rt")
+
+
+def word_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary: part names and their last words, those of a name and what is searched for, and some pairs of these."""
+    name = F.lower("p_name")
+    names = read_table(spark, sf_dir, "part").filter("p_name is not null")
+    entries = F.array(name, F.element_at(F.split(name, " "), -1), F.concat(F.element_at(F.split(name, " "), -1), F.lit(" red")),
+                      F.lit("red phone"), F.lit("phone case"), F.lit("phone  Case 3"))
+    return names.select(F.explode(entries).alias("word"))
