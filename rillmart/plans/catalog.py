@@ -7,6 +7,7 @@ defaults because the tables' events lie hours and days apart.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +18,14 @@ from ..operators import logs, parsing, reports, routing, stats, visits, wide
 from ..operators.joins import interval_join
 from ..operators.upsert import as_text, upsert
 from ..session import new_folder, use_utc
-from ..sinks import buckets, days, dims as dim_sink, history
+from ..sinks import buckets, days, dims as dim_sink, history, ledger
 from ..sinks.kept import kept_table
 from ..sinks.topics import json_topic, tee, to_routed_topics
 from ..sources import changes, testbed as tb, topics
 from ..sources.tables import lookup, read_table, stream_table
 from ..streaming import refresh, stateful
 from ..streaming.jobs import Replay, Stages
+from ..streaming.refresh import keep_running
 from . import layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -799,6 +801,51 @@ def stream_snapshot_then_log(spark, sf):
     return left.select(F.col("key").cast("bigint").alias("c_custkey"), "type", F.col("after")["c_mktsegment"].alias("segment"))
 
 
+@query
+def stream_log_only(spark, sf):
+    """A change log without the snapshot before it: what was there at the first start is passed over, what came while the job was down is not."""
+    stages = Stages(spark, "log-only")
+    customers = tb.change_records(spark, sf).filter("topic = 'binlog.shop.customer'")
+    for part in ("op = 'READ'", "seq = 2", "seq = 3"):
+        parsing.to_json_lines(customers.filter(part)).write.mode("append").text(stages.path("binlog"))
+        lines = changes.change_lines(stages.session, stages.path("binlog"), "latest", checkpoint=stages.checkpoint("records"))
+        stages.run("records", lines)
+    field = lambda path: F.get_json_object("value", path)
+    return stages.table("records").select(
+        field("$.op").alias("op"), F.coalesce(field("$.after.c_custkey"), field("$.before.c_custkey")).cast("bigint").alias("c_custkey"))
+
+
+@query
+def stream_restart(spark, sf):
+    """A chain of two jobs that is stopped, meets a failure between two sinks and goes on with files that came: every record once in each sink."""
+    stages = Stages(spark, "restart")
+    log = parsing.to_json_lines(tb.app_log(spark, sf).withColumn("_half", F.col("event_id") % 2))
+    first = F.get_json_object("value", "$._half") == "0"
+    raw, root, kind = stages.path("raw"), stages.path("sinks"), "value string"
+    started = F.get_json_object("value", "$.start").isNotNull()
+    failures = []
+
+    def starts(batch: DataFrame) -> DataFrame:
+        if not failures:  # the first batch dies when its page records are written
+            failures.append(1)
+            raise RuntimeError("between two sinks")
+        return batch.filter(started)
+
+    def job(name: str, stream: DataFrame, sinks: dict) -> None:
+        keep_running(lambda: ledger.to_sinks(stream, sinks, root, stages.checkpoint(name), once=True), pause_seconds=0)
+
+    for rows in (log.filter(first), log.filter(~first)):
+        rows.select("value").write.mode("append").text(raw)
+        job("ods", topics.file_topic(stages.session, raw), {"ods_log": lambda batch: batch.select("value")})
+        job("split", ledger.stream_sink(stages.session, root, "ods_log", kind), {"page": lambda batch: batch.filter(~started), "start": starts})
+    names = ["ods_log", "page", "start"]
+    listed = ledger.read_ledger(spark, root, names).groupBy("sink").agg(F.sum("records").alias("listed"))
+    held = [ledger.read_sink(spark, root, n, kind).select(F.lit(n).alias("sink"), F.get_json_object("value", "$.event_id").cast("bigint").alias("id")) for n in names]
+    counted = reduce(DataFrame.unionByName, held).groupBy("sink").agg(
+        F.count(F.lit(1)).alias("records"), F.countDistinct("id").alias("different"), F.sum("id").alias("ids"))
+    return counted.join(listed, "sink")
+
+
 @query
 def stream_enrich(spark, sf):
     """Orders joined, batch by batch, with dimension tables loaded anew for each batch."""

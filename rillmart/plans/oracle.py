@@ -578,6 +578,13 @@ select c_custkey, case when c_custkey % 3 = 0 then 'update' else 'insert' end as
        case when c_custkey % 3 = 0 then 'UPDATED' else c_mktsegment end as segment
 from customer where c_custkey % 7 <> 0""")
 
+oracle("stream_log_only", "select raw_op as op, c_custkey from (select case when r = 2 then 'UPDATE' else 'DELETE' end as raw_op, c_custkey "
+       "from customer, (values (2), (3)) v(r) where (r = 2 and c_custkey % 3 = 0) or (r = 3 and c_custkey % 7 = 0))")
+
+oracle("stream_restart", """
+select sink, count(*) as records, count(distinct event_id) as different, sum(event_id)::bigint as ids, count(*) as listed
+from (select event_id, unnest(['ods_log', case when start is null then 'page' else 'start' end]) as sink from log) group by sink""")
+
 oracle("stream_enrich", "select id as order_id, user_id, user_gender, user_age from oi join usr on user_id = uid")
 _AS_OF = """
 select id as order_id, user_id, user_age,
