@@ -23,36 +23,39 @@ def _draw(doc_id: Column, k: Column) -> Column:
     return F.conv(F.substring(digest, (k % 4) * 8 + 1, F.lit(8)), 16, 10).cast("double") / float(2 ** 32)
 
 
+def _running(rows: DataFrame, order: list[Column], sums: dict[str, Column], label: str) -> DataFrame:
+    """Sums over all rows before a row in an order; no task takes all rows, only a row per range of them."""
+    placed = stored(rows.repartitionByRange(buckets_for(rows.sparkSession), *order).withColumn("part_", F.spark_partition_id()), label)
+    ahead = Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy("part_").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    before = totals.select("part_", *[F.coalesce(F.sum(n).over(ahead), F.lit(0)).alias(f"{n}_") for n in sums])
+    inside = Window.partitionBy("part_").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return placed.join(before, "part_").select(
+        *rows.columns, *[(F.col(f"{n}_") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(n) for n, c in sums.items()])
+
+
 def source_targets(sizes: DataFrame) -> DataFrame:
     """(source, source_size, target) from (source, size): one row per source, NULL a source of its own.
 
     Weights repeat over the sources by code point, NULL last.  Targets share the
-    total by weight and stop at MOST_REPEATS times the source's size; the level at
-    which the others share the rest rises until no source is above its stop.
+    total by weight and stop at MOST_REPEATS times the source's size, the excess
+    shared by the others: all follow one level, target = least(stop, weight * level).
+    In the order of stop over weight the level lies before the first source at
+    whose own level the targets would reach the total; running sums tell which.
     """
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    # Ranked within ranges of sources, each range from the number of sources before it.
-    order = [F.col("source").isNull(), F.col("source").cast("binary")]
-    placed = per.repartitionByRange(buckets_for(per.sparkSession), *order).withColumn("part_", F.spark_partition_id())
-    placed = stored(placed, "source-ranges")
-    # A row per range.
-    before = F.sum("count").over(Window.orderBy("part_")) - F.col("count")
-    offsets = placed.groupBy("part_").count().select("part_", before.alias("before_"))
-    per = placed.join(offsets, "part_")
-    rank = F.col("before_") + F.row_number().over(Window.partitionBy("part_").orderBy(*order))
-    weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), ((rank - 1) % len(WEIGHTS) + 1).cast("int"))
-    per = stored(per.select("source", "source_size", weight.alias("weight")), "sources")
-    cap = F.col("source_size") * MOST_REPEATS
-    total = per.agg(F.sum("source_size")).first()[0] or 0
-    level = 0.0
-    while total:
-        at = cap <= F.col("weight") * F.lit(level)
-        capped, share = per.agg(F.coalesce(F.sum(F.when(at, cap)), F.lit(0)), F.sum(F.when(~at, F.col("weight")))).first()
-        above = (total - capped) / share if share else level
-        if above <= level:
-            break
-        level = above
-    return per.select("source", "source_size", F.least(cap.cast("double"), F.col("weight") * F.lit(float(level))).alias("target"))
+    by_name = [F.col("source").isNull(), F.col("source").cast("binary")]
+    ranked = _running(per, by_name, {"rank": F.lit(1)}, "source-ranges")
+    weight = F.element_at(F.array(*[F.lit(w) for w in WEIGHTS]), (F.col("rank") % len(WEIGHTS) + 1).cast("int"))
+    per = stored(ranked.select("source", "source_size", weight.alias("weight")), "sources")
+    total, weights = per.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
+    stop = F.col("source_size") * MOST_REPEATS
+    at = (stop / F.col("weight")).alias("at")
+    levels = _running(per.select("source", "source_size", "weight", at), [F.col("at"), *by_name], {"stopped": stop, "passed": F.col("weight")}, "source-levels")
+    reached = F.col("stopped") + F.col("at") * (F.lit(weights) - F.col("passed")) >= F.lit(total)
+    share = (F.lit(total) - F.col("stopped")) / (F.lit(weights) - F.col("passed"))
+    level = levels.filter(reached).agg(F.min(F.struct("at", share.alias("level")))["level"]).first()[0] or 0.0
+    return per.select("source", "source_size", F.least(stop.cast("double"), F.col("weight") * F.lit(float(level))).alias("target"))
 
 
 def _with_sources(rows: DataFrame, per: DataFrame) -> DataFrame:

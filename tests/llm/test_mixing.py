@@ -1,5 +1,6 @@
 """Targets and copies against a plain water level."""
 
+import random
 import re
 from collections import defaultdict
 
@@ -93,3 +94,15 @@ def test_many_sources_are_ranked_in_ranges(spark, monkeypatch):
     order = [*sorted(set(names), key=lambda s: s.encode()), None]
     assert weights == {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(order)}
     assert any("rangepartitioning" in p for p in plans)
+
+
+def test_levels_of_many_sources(spark):
+    """Sizes over six powers of ten, with ties and empty sources, so that many sources stop before the level."""
+    rng = random.Random(3)
+    sizes = {f"s{i:03d}": rng.choice([0, 7, 7, int(10 ** rng.uniform(0, 6))]) for i in range(150)} | {None: 10 ** 7}
+    got = mixing.source_targets(spark.createDataFrame(list(sizes.items()), "source string, size long")).collect()
+    want = targets(sizes)
+    assert {r.source: r.source_size for r in got} == sizes
+    assert sum(abs(want[s] - 3 * sizes[s]) < 1e-9 for s in sizes) > 20
+    for r in got:
+        assert r.target == pytest.approx(want[r.source], rel=1e-9, abs=1e-9)
