@@ -19,8 +19,9 @@ from xxhash import xxh3_64_intdigest
 
 from .common import buckets_for
 
-#: Documents per block and, at least, blocks per shuffle partition.
+#: Documents and bytes of text per block, on the average, and, at least, blocks per shuffle partition.
 BLOCK_ROWS = 2000
+BLOCK_BYTES = 16 * 2 ** 20
 BLOCKS_PER_PARTITION = 1
 #: Different words a Python worker remembers the codes of.
 MOST_WORDS = 1_000_000
@@ -135,7 +136,8 @@ def to_buckets(block: int, keys: np.ndarray, buckets: int, **columns) -> pa.Tabl
 
 def in_blocks(docs: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
     """``docs`` with block_ and key_: the block of the row, and its doc_id or NO_ID for NULL."""
-    blocks = max(buckets_for(docs.sparkSession, BLOCKS_PER_PARTITION), math.ceil(docs.count() / rows))
+    count, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(buckets_for(docs.sparkSession, BLOCKS_PER_PARTITION), math.ceil(count / rows), math.ceil(size / BLOCK_BYTES))
     return docs.withColumns({
         "block_": F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"),
         "key_": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))})

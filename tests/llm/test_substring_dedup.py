@@ -78,3 +78,15 @@ def test_packing():
     assert (grams.unpack(grams.pack(ints), np.int64) == ints).all()
     cut = grams.bucket_bounds(keys, 7)
     assert cut[0] == 0 and cut[-1] == 1000 and (np.diff(cut) > 80).all()
+
+
+def test_blocks_of_long_texts_are_bounded_by_bytes(spark, monkeypatch):
+    """Texts of a megabyte are dealt by bytes, and a passage that two of them share is cut from the later one."""
+    monkeypatch.setattr(grams, "BLOCK_BYTES", 2 * 2 ** 20)
+    docs = spark.range(40).selectExpr(
+        "id as doc_id", "concat_ws(' ', transform(sequence(1, 100000), i -> concat('w', id, 'x', i)), if(id in (3, 30), repeat('a b c d e f g h i j k l m n o ', 1), '')) as text")
+    blocks = grams.in_blocks(docs).groupBy("block_").count().collect()
+    assert docs.selectExpr("min(octet_length(text))").first()[0] > 700_000
+    assert len(blocks) >= 10  # by the number of texts it would be the four of the shuffle partitions
+    gone = {r.doc_id: r.n_removed for r in substring_dedup.dedup_report(docs).collect()}
+    assert gone == {i: 15 if i == 30 else 0 for i in range(40)}
