@@ -24,7 +24,7 @@ BLOCK_ROWS = 2000
 BLOCK_BYTES = 16 * 2 ** 20
 BLOCKS_PER_PARTITION = 1
 #: Different words a Python worker remembers the codes of.
-MOST_WORDS = 1_000_000
+MOST_WORDS = 250_000
 #: Takes the place of a NULL doc_id: larger than every id.
 NO_ID = 2 ** 63 - 1
 
