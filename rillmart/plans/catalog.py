@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from .. import codes, schemas
 from ..functions import timefns as tf
-from ..operators import logs, parsing, reports, routing, stats, visits, wide
+from ..operators import logs, order_sets, parsing, reports, routing, stats, visits, wide
 from ..operators.joins import interval_join
 from ..operators.upsert import as_text, upsert
 from ..session import new_folder, use_utc
 from ..sinks import buckets, days, dims as dim_sink, history, ledger
 from ..sinks.kept import kept_table
+from ..sinks.stats import with_dt
 from ..sinks.topics import json_topic, tee, to_routed_topics
 from ..sources import changes, testbed as tb, topics
 from ..sources.tables import lookup, read_table, stream_table
@@ -405,6 +406,31 @@ def product_stats_all_lines(spark, sf):
         "stt", "edt", "sku_id", "order_sku_num", "order_amount", "order_ct", "refund_order_ct", "refund_amount"))
 
 
+def _order_set_table(spark, sf) -> DataFrame:
+    """The orders and refunds of every line as sets by day and SKU; ``dt`` is a sorted column, as a folder for each of these days would hold a few rows."""
+    rows = stats.product_rows(orders=tb.order_detail(spark, sf), refunds=tb.refund_info(spark, sf))
+    return kept_table(spark, sf, "order_sets", ("lineitem",), lambda: with_dt(order_sets.order_sets(rows)).sortWithinPartitions("dt"),
+                      settings=(DAY_WINDOW, order_sets.MOST_LISTED))
+
+
+def _by_month(sets: DataFrame) -> DataFrame:
+    return sets.withColumn("month", F.floor(F.col("dt") / 100).cast("int"))
+
+
+@query
+def product_orders_by_month(spark, sf):
+    """Distinct orders per month and SKU, from stored sets by day."""
+    return order_sets.distinct_orders(_by_month(_order_set_table(spark, sf)), ["month", "sku_id"]).drop("paid_order_ct")
+
+
+@query
+def brand_orders_by_month(spark, sf):
+    """Distinct orders per month and brand from the sets by day and SKU; several products of a brand in an order are one order."""
+    brands = tb.dim_sku(spark, sf).select(F.col("id").cast("bigint").alias("sku_id"), F.col("tm_id").cast("bigint").alias("tm_id"))
+    sets = _by_month(_order_set_table(spark, sf)).join(brands, "sku_id")
+    return order_sets.distinct_orders(sets, ["month", "tm_id"]).drop("paid_order_ct")
+
+
 @query
 def province_stats(spark, sf):
     return plain(_province_stats(spark, sf))

@@ -413,6 +413,16 @@ select stt, edt, sku_id, order_sku_num, order_amount::double as order_amount, or
        refund_amount::double as refund_amount
 from pstats_lines""")
 
+def _monthly(group: str, src: str) -> str:
+    return f"""
+select cast(strftime(l_shipdate, '%Y%m') as int) as month, {group}, count(distinct l_orderkey) as order_ct,
+       count(distinct case when l_returnflag = 'R' then l_orderkey end) as refund_order_ct
+from {src} where l_shipdate is not null group by all"""
+
+
+oracle("product_orders_by_month", _monthly("l_partkey as sku_id", "lineitem"))
+oracle("brand_orders_by_month", _monthly("tm_id", "lineitem join sku on l_partkey = sid"))
+
 _PRCOLS = """stt, edt, province_id, province_name, province_area_code, province_iso_code, province_3166_2_code,
        order_amount::double as order_amount, order_count, ts"""
 oracle("province_stats", f"select {_PRCOLS} from prstats")
