@@ -466,7 +466,7 @@ def keyword_stats_days(spark, sf):
     arrived = days.Input("events", folder, lambda rows: F.array(tf.yyyymmdd("ts")))
 
     def build(changed: list[int]) -> DataFrame:
-        log = tb.log_of_events(spark.read.schema(events.schema).parquet(folder).filter(days.in_days("ts", changed)))
+        log = tb.log_of_events(spark.read.schema(events.schema).parquet(folder).filter(days.in_days("ts", changed)), tb.number_of_skus(spark, sf))
         return stats.keyword_stats(stats.searches(log), DAY_WINDOW)
 
     for part in range(3):  # the last files hold records of all days
@@ -592,6 +592,14 @@ def code_decode(spark, sf):
         "sku_id", "create_time", "appraise", codes.decode("appraise", "appraise").alias("appraise_name"))
 
 
+@query
+def code_counts(spark, sf):
+    """How many order lines carry each code of all kinds; codes that are not listed have no name, codes not met no lines."""
+    met = tb.coded_lines(spark, sf).groupBy("kind", "code", "decoded").agg(F.count(F.lit(1)).alias("lines"))
+    return met.join(codes.code_table(spark), ["kind", "code"], "full").select(
+        "kind", "code", "name", "decoded", F.coalesce("lines", F.lit(0)).alias("lines"))
+
+
 @query
 def time_functions(spark, sf):
     """Day, hour, text and epoch forms of every event time."""

@@ -9,6 +9,8 @@ Epoch milliseconds are whole microseconds divided by 1000 and cut off;
 
 from __future__ import annotations
 
+from ..codes import CODES
+
 BOUNCE_MS = 2 * 3600 * 1000
 
 # --- shared table expressions ---------------------------------------------------
@@ -22,7 +24,7 @@ CTE["log"] = """
               when 'signup' then 'login' when 'error' then 'good_list' end as page_id,
          case when event_type in ('signup', 'view') then null when event_type = 'error' then 'search'
               else 'home' end as last_page_id,
-         case event_type when 'view' then cast(event_id % 200 as varchar)
+         case event_type when 'view' then cast(event_id % (select greatest(count(*), 1) from part) as varchar)
               when 'error' then 'red phone case ' || (event_id % 9) end as item,
          case event_type when 'view' then 'sku_id' when 'error' then 'keyword' end as item_type,
          cast(round(value * 1000) as bigint) as during_time,
@@ -44,7 +46,7 @@ CTE["open_fixed"] = """
 CTE["pages"] = "select * from fixed where start is null"
 
 CTE["displays"] = """
-  select event_id, mid, page_id, start, ts, ets, cast((event_id + i) % 200 as varchar) as item,
+  select event_id, mid, page_id, start, ts, ets, cast((event_id + i) % (select greatest(count(*), 1) from part) as varchar) as item,
          case when i % 2 = 0 then 'sku_id' else 'activity_id' end as item_type
   from log, lateral (select unnest(range(0, shown)) as i)"""
 
@@ -166,7 +168,7 @@ def _prow(src: str, sku: str, ts: str, **measures: str) -> str:
 
 
 _SHIFT = "ts - interval 27 year"
-_EVENT_SKU = "event_id % 200"
+_EVENT_SKU = "event_id % (select greatest(count(*), 1) from part)"
 _PAGE_ROWS = [
     _prow("log where start is null and page_id = 'good_detail' and item_type = 'sku_id'", "item",
           "make_timestamp(ts * 1000)", click_ct="1"),
@@ -273,7 +275,7 @@ select event_id, case when start is null then 'dwd_page_log' else 'dwd_start_log
        null::varchar as item, during_time || case when event_id % 3 = 1 then '.5' else '' end as during_text
 from open_fixed
 union all
-select event_id, 'dwd_display_log', null, null, null, null, null, i, page_id, cast((event_id + i) % 200 as varchar), null
+select event_id, 'dwd_display_log', null, null, null, null, null, i, page_id, cast((event_id + i) % (select greatest(count(*), 1) from part) as varchar), null
 from open_fixed, lateral (select unnest(range(0, shown)) as i) where start is null""")
 
 oracle("json_roundtrip", """
@@ -564,11 +566,19 @@ where rn <= 20""")
 # --- scalar functions ---------------------------------------------------------------------
 
 oracle("code_decode", f"""
-select event_id % 200 as sku_id, {_text(_SHIFT)} as create_time,
+select {_EVENT_SKU} as sku_id, {_text(_SHIFT)} as create_time,
        case when value > 50 then '1201' else '1202' end as appraise,
        case when value > 50 then 'GOOD' else 'SOSO' end as appraise_name
 from events where event_type = 'error'""")
 
+_LISTED = ", ".join(f"('{kind}', '{code}', '{name}')" for kind, names in CODES.items() for code, name in names.items())
+oracle("code_counts", f"""
+with listed(kind, code, name) as (values {_LISTED}),
+kinds as (select kind, min(code::int) as first, count(*) as n from listed group by kind),
+met as (select kind, cast(first + l_orderkey % (n + 1) as varchar) as code, count(*) as lines from lineitem, kinds group by all)
+select kind, code, name, case when lines is not null then name end as decoded, coalesce(lines, 0) as lines
+from met full join listed using (kind, code)""")
+
 oracle("time_functions", f"""
 select event_id, cast(strftime(ts, '%Y%m%d') as int) as yyyymmdd, cast(hour(ts) as int) as hr, {_text('ts')} as stamp,
        (epoch_us(ts) // 1000) as millis, {_text('ts')} as stamp_of_millis, (epoch_us(date_trunc('second', ts)) // 1000) as millis_of_stamp,

@@ -13,6 +13,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import codes
 from ..functions.numbers import money
 from ..functions.timefns import stamp
 from .changes import row_map
@@ -34,15 +35,20 @@ def _pick(subject: Column, cases: dict[str, Column | str | None], default: str |
     return chain.otherwise(F.lit(default))
 
 
-def log_of_events(events: DataFrame) -> DataFrame:
-    """App log records; ``event_id`` identifies a record and orders ties."""
+def number_of_skus(spark: SparkSession, sf_dir: str) -> int:
+    """How many parts there are, one for an empty table: events name SKUs by their id modulo this."""
+    return max(1, read_table(spark, sf_dir, "part").count())
+
+
+def log_of_events(events: DataFrame, skus: int) -> DataFrame:
+    """App log records that name SKUs 0 to ``skus`` - 1; ``event_id`` identifies a record and orders ties."""
     kind, eid, uid = F.col("event_type"), F.col("event_id"), F.col("user_id")
     page_id = _pick(kind, {
         "view": "good_detail", "click": "home", "purchase": "trade", "signup": "login", "error": "good_list",
     })
     last_page = _pick(kind, {"signup": None, "view": None, "error": "search"}, "home")
     item = _pick(kind, {
-        "view": (eid % 200).cast("string"),
+        "view": (eid % skus).cast("string"),
         "error": F.concat(F.lit("red phone case "), (eid % 9).cast("string")),
     })
     item_type = _pick(kind, {"view": "sku_id", "error": "keyword"})
@@ -50,7 +56,7 @@ def log_of_events(events: DataFrame) -> DataFrame:
     displays = F.when(shown > 0, F.transform(
         F.sequence(F.lit(0), F.greatest(shown, F.lit(1)) - 1),
         lambda i: F.struct(
-            ((eid + i) % 200).cast("string").alias("item"),
+            ((eid + i) % skus).cast("string").alias("item"),
             F.when(i % 2 == 0, "sku_id").otherwise("activity_id").alias("item_type"),
         ),
     ))
@@ -74,11 +80,11 @@ def log_of_events(events: DataFrame) -> DataFrame:
 
 
 def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log_of_events(read_table(spark, sf_dir, "events"))
+    return log_of_events(read_table(spark, sf_dir, "events"), number_of_skus(spark, sf_dir))
 
 
 def app_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log_of_events(stream_table(spark, sf_dir, "events"))
+    return log_of_events(stream_table(spark, sf_dir, "events"), number_of_skus(spark, sf_dir))
 
 
 # A time after all data.  Records of this time move the watermark past everything, so that all windows and timers close.
@@ -229,10 +235,20 @@ def refund_info(spark: SparkSession, sf_dir: str, read=read_table) -> DataFrame:
     )
 
 
+def coded_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(kind, code, decoded): each order line carries a code of every kind, now and then one that is not listed."""
+    def carried(kind: str, names: dict[str, str]) -> Column:
+        code = (F.lit(int(min(names))) + F.col("l_orderkey") % (len(names) + 1)).cast("string")
+        return F.struct(F.lit(kind).alias("kind"), code.alias("code"), codes.decode(kind, code).alias("decoded"))
+
+    lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey")
+    return lines.select(F.inline(F.array(*[carried(kind, names) for kind, names in codes.CODES.items()])))
+
+
 def _sku_events(spark: SparkSession, sf_dir: str, kind: str, read) -> DataFrame:
     moved = F.date_trunc("second", F.col("ts") - F.make_ym_interval(F.lit(EVENT_SHIFT_YEARS)))
     return read(spark, sf_dir, "events").filter(F.col("event_type") == kind).select(
-        (F.col("event_id") % 200).alias("sku_id"), stamp(moved).alias("create_time"), moved.alias("create_at"), "value")
+        (F.col("event_id") % number_of_skus(spark, sf_dir)).alias("sku_id"), stamp(moved).alias("create_time"), moved.alias("create_at"), "value")
 
 
 def favor_info(spark: SparkSession, sf_dir: str, read=read_table) -> DataFrame:

@@ -82,3 +82,17 @@ def test_any_part_types_are_numbered(spark, tmp_path):
                           "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
     ids = {r.id: r.category3_id for r in tb.dim_sku(spark, str(tmp_path)).collect()}
     assert len(ids) == 3 and ids["1"] != ids["2"] and ids["3"] is None
+
+
+def test_events_name_as_many_skus_as_there_are_parts(spark, tmp_path):
+    from rillmart.sources import testbed as tb
+
+    spark.range(4000).selectExpr("id as p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(9000).selectExpr("id as event_id", "1L as user_id", "case id % 2 when 0 then 'view' else 'click' end as event_type", "1.0D as value",
+                                 "'{\"k\": 1}' as props", "timestamp'2024-01-01' as ts").write.parquet(f"{tmp_path}/events.parquet")
+    log = tb.app_log(spark, str(tmp_path))
+    assert {int(r.item) for r in log.select("page.item").dropna().collect()} == set(range(0, 4000, 2))
+    assert {int(r.item) for r in log.selectExpr("displays[0].item as item").dropna().collect()} == set(range(4000))
+    assert {r.sku_id for r in tb.favor_info(spark, str(tmp_path)).collect()} == set(range(1, 4000, 2))
+    spark.createDataFrame([], "p_partkey long").write.mode("overwrite").parquet(f"{tmp_path}/part.parquet")
+    assert {r.sku_id for r in tb.favor_info(spark, str(tmp_path)).collect()} == {0}

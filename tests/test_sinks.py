@@ -44,7 +44,7 @@ def test_json_topic_read_back(spark, tmp_path):
 
 
 def test_routed_topics_have_a_folder_each(spark, tmp_path):
-    log = tb.log_of_events(stream_table(spark, SF_DIR, "events"))
+    log = tb.app_log_stream(spark, SF_DIR)
     run(topics.to_routed_topics(logs.routed_log(log), f"{tmp_path}/t", f"{tmp_path}/c", once=True))
     folders = sorted(f for f in os.listdir(f"{tmp_path}/t") if f.startswith("sink_table="))
     assert folders == ["sink_table=dwd_display_log", "sink_table=dwd_page_log", "sink_table=dwd_start_log"]
