@@ -53,6 +53,28 @@ def test_a_hot_group_is_a_row_per_bucket(spark):
     assert unite(sets, ["sku_id"]).agg(F.sum("n")).first()[0] == 100_000
 
 
+def test_bitmaps_hold_the_ids(spark):
+    r = random.Random(7)
+    rows = [(sku, "2024-01-01 10:00:00", "order", r.randrange(40_000)) for sku, n in ((1, 3), (2, 300), (3, 5000)) for _ in range(n)]
+    rows += [(4, "2024-01-01 10:00:00", "order", oid) for oid in (0, 7, 8, 56, 63, 64, 32767, 32768)]
+    want = {(x.sku_id, x.bucket): bytes(x.bits) for x in _rows(spark, rows).groupBy("sku_id", F.bitmap_bucket_number("oid").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("oid")).alias("bits")).collect()}
+    for most_listed in (0, 2, 1024):
+        sets = order_sets(_rows(spark, rows), most_listed=most_listed)
+        for x in sets.filter("listed is not null").collect():
+            assert x.listed == [p for p in range(32768) if want[x.sku_id, x.bucket][p // 8] >> p % 8 & 1]
+        assert all(bytes(x.bits) == want[x.sku_id, x.bucket] for x in sets.filter("bits is not null").collect())
+        assert {(x.sku_id, x.bucket): bytes(x.bits) for x in unite(sets, ["sku_id"]).collect()} == want
+
+
+def test_small_sets_are_counted_without_bitmaps(spark):
+    """A bitmap takes four kilobytes, whatever it holds: none is made for each group while sets are built or counted."""
+    sets = order_sets(_rows(spark, [(1, "2024-01-01 00:00:00", "order", 1)]))
+    for df in (sets, distinct_orders(sets, ["sku_id"])):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "bitmap_construct_agg" not in plan and "bitmap_or_agg" not in plan
+
+
 def test_no_rows(spark):
     sets = order_sets(_rows(spark, []))
     assert sets.count() == 0 and distinct_orders(sets, ["sku_id"]).count() == 0
