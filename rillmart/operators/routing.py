@@ -30,9 +30,10 @@ def current_routing(config_changes: DataFrame, order_by: str) -> DataFrame:
 
 
 def _route(changes: DataFrame, config: DataFrame, *more: Column, valid: Column | None = None) -> DataFrame:
-    rules = config.select(
+    # Sent to every task: dealt out by table and operation, all changes of a large table would meet in one task.
+    rules = F.broadcast(config.select(
         F.col("sourceTable").alias("_t"), F.col("operateType").alias("_o"),
-        "sinkType", "sinkTable", "sinkPk", F.split("sinkColumns", ",").alias("_keep"), *more)
+        "sinkType", "sinkTable", "sinkPk", F.split("sinkColumns", ",").alias("_keep"), *more))
     same = (F.col("tableName") == F.col("_t")) & (F.col("type") == F.col("_o"))
     joined = drop_deletes(changes).join(rules, same if valid is None else same & valid)
     kept = F.map_filter("after", lambda k, _: F.array_contains(F.col("_keep"), k))
@@ -42,8 +43,8 @@ def _route(changes: DataFrame, config: DataFrame, *more: Column, valid: Column |
 def route_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Join change envelopes with their routing and keep only the listed columns of ``after``.
 
-    Records without routing are left out.  The config is a short table, which
-    Spark broadcasts by its measured size.
+    Records without routing are left out.  The config is a short table, a row per
+    source table and operation, and is broadcast; the changes stay where they are.
     """
     return _route(changes, config)
 

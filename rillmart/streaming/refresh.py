@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.query import StreamingQueryException
 
-from ..operators.routing import fact_changes, route_as_of, route_changes
+from ..operators.routing import dim_changes, fact_changes, route_as_of, route_changes
 from ..sinks.dims import COMPACT_AFTER, config_tables, create_dim, dim_schema, write_batch
 from ..sinks.topics import start
 
@@ -45,19 +45,21 @@ def db_split(changes: DataFrame, load_config: Callable[[], DataFrame], facts_pat
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         config = load_config()
-        routed = (route_as_of(batch, config, as_of) if as_of else route_changes(batch, config)).persist()
+        routed = route_as_of(batch, config, as_of) if as_of else route_changes(batch, config)
+        # Facts, the bulk, pass once and are not kept; of the rest only what the dimension tables take.
+        fact_changes(routed).select(F.col("sinkTable").alias("sink_table"), F.to_json("after").alias("value")
+                                    ).write.mode("overwrite").partitionBy("sink_table").text(
+            f"{facts_path}/batch={batch_id}")
+        tables = {}
+        for table, (columns, pk) in config_tables(config).items():
+            schema = dim_schema(columns, pk)
+            create_dim(batch.sparkSession, f"{dims_root}/{table}", columns, pk)
+            tables[table] = (schema.names, next(f.name for f in schema.fields if not f.nullable))
+        rows = dim_changes(routed).select("sinkType", "sinkTable", "after", order_by).persist()
         try:
-            fact_changes(routed).select(F.col("sinkTable").alias("sink_table"), F.to_json("after").alias("value")
-                                        ).write.mode("overwrite").partitionBy("sink_table").text(
-                f"{facts_path}/batch={batch_id}")
-            tables = {}
-            for table, (columns, pk) in config_tables(config).items():
-                schema = dim_schema(columns, pk)
-                create_dim(batch.sparkSession, f"{dims_root}/{table}", columns, pk)
-                tables[table] = (schema.names, next(f.name for f in schema.fields if not f.nullable))
-            write_batch(routed, dims_root, tables, batch_id, order_by, compact_after)
+            write_batch(rows, dims_root, tables, batch_id, order_by, compact_after)
         finally:
-            routed.unpersist()
+            rows.unpersist()
 
     return start(changes.writeStream.foreachBatch(write), checkpoint, **run)
 

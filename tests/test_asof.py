@@ -69,3 +69,19 @@ def test_route_as_of(spark):
     got = sorted((r.sinkTable, tuple(sorted(r.after.items()))) for r in routing.route_as_of(changes, versions, "at").collect())
     x = ("x", "9")
     assert got == [("one", (("id", "0"),)), ("one", (("id", "4"),)), ("three", (x,)), ("tie", (("id", "21"),)), ("two", (("id", "5"), x))]
+
+
+def test_changes_stay_where_they_are(spark):
+    """Dealt out by table and operation, all inserts of one table would be one task's; so it was where plans do not adapt, as in a stream's batch."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    config = spark.createDataFrame([("orders", "insert", "kafka", "facts", "id", None, None)], schemas.ROUTING)
+    changes = spark.createDataFrame([("orders", "insert", {"id": "1"})], "tableName string, type string, after map<string,string>")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "262144")
+        routed = routing.route_changes(changes, config)
+        assert "hashpartitioning" not in routed._jdf.queryExecution().executedPlan().toString()
+        assert [r.after for r in routed.collect()] == [{"id": "1"}]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
