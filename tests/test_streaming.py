@@ -87,6 +87,21 @@ def test_unique_visit_parity(spark, feed, stages):
     assert rows_of(stages.table("out")) == rows_of(visits.unique_visit(feed.table()))
 
 
+def test_unique_visits_meet_the_state_once_per_batch(feed, stages, monkeypatch):
+    """The earliest of a batch, whatever Arrow batch it comes in, without a call of Python for each visitor."""
+    monkeypatch.setattr(stateful, "TAKEN_IN", 2)
+    stages.session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    day = 86_400_000
+    feed.rows(*[(mid, T0 + ms, None) for ms in (9, 7, 8, 3, 5) for mid in ("a", None, "")], ("a", T0 + day + 1, None))
+    feed.rows(("a", T0 + 1, None), ("b", T0 + 2, None), ("b", T0 + 1, None))
+    visits_ = stateful.unique_visit_stream(feed.stream(stages.session))
+    plan = visits_._jdf.queryExecution().analyzed().toString()
+    assert "Deduplicate" in plan and "TransformWithState" not in plan and "WithState" not in plan
+    stages.run("out", visits_)
+    got = sorted((r.common.mid or repr(r.common.mid), r.ts - T0) for r in stages.table("out").collect())
+    assert got == sorted([("a", 3), ("None", 3), ("''", 3), ("a", day + 1), ("b", 1)])
+
+
 def test_fates_parity(spark, feed, stages):
     fill(spark, feed)
     stages.run("out", stateful.entry_fates_stream(feed.stream(stages.session), tb.BOUNCE_WITHIN))
