@@ -109,3 +109,22 @@ def test_sessions_that_build_at_once_do_not_meet(spark, tmp_path):
     first = kept_table(spark, folder, "both", ("t",), build)
     assert first.count() == inner[0].count() == 3
     assert kept_table(spark, folder, "both", ("t",), lambda: pytest.fail("built again")).count() == 3
+
+
+def test_a_large_input_is_built_in_more_partitions(spark, tmp_path, monkeypatch):
+    """What one task sorts must not grow with the input, and a day must not be a file of each of these tasks."""
+    from rillmart.sinks import kept
+
+    folder, seen = str(tmp_path), []
+    spark.range(1000).repartition(2).write.parquet(f"{folder}/t.parquet")
+    size = sum(f.stat().st_size for f in (tmp_path / "t.parquet").glob("*.parquet"))
+    monkeypatch.setattr(kept, "PARTITION_BYTES", size // 20)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+
+    def build():
+        seen.append(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return spark.read.parquet(f"{folder}/t.parquet").repartition(20, "id").selectExpr("'2024-01-01 00:00:00' as stt", "id")
+
+    table = kept.kept_table(spark, folder, "wide", ("t",), build, by_day=True)
+    assert seen[0] >= 20 and spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert table.count() == 1000 and len(table.inputFiles()) == 1
