@@ -31,13 +31,13 @@ def _publish(spark: SparkSession, hidden: str, path: str) -> None:
         raise OSError(f"{hidden} could not be renamed to {path}")
 
 
-def write_once(rows: DataFrame, path: str, batch_id: int) -> bool:
+def write_once(rows: DataFrame, path: str, batch_id: int, *partitions: str) -> bool:
     """Write one batch of a sink unless it is there; says whether it was written."""
     spark = rows.sparkSession
     if batch_id in complete(spark, path, "batch"):
         return False
     hidden = f"{path}/_attempts/{batch_id}-{uuid.uuid4().hex}"
-    rows.write.parquet(hidden)
+    rows.write.partitionBy(*partitions).parquet(hidden)
     _publish(spark, hidden, f"{path}/batch={batch_id}")
     return True
 
