@@ -26,28 +26,26 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timefns import interval
 from ..sinks.dims import complete
-from ..sinks.kept import PARTITION_BYTES
+from ..sinks.kept import PARTITION_BYTES, file_system
 from ..sinks.ledger import write_once
 from ..sinks.stats import with_dt
 from ..sinks.topics import start
 
-MARKS = "mark bigint, lasts array<bigint>"
-
+#: Partitions of a shuffle for each task that reads a batch, whose size is not known before.
+PER_INPUT = 4
 
-def _file_system(spark: SparkSession, path: str):
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+MARKS = "mark bigint, lasts array<bigint>"
 
 
 @contextmanager
-def _partitions_for(spark: SparkSession, *paths: str) -> Iterator[None]:
-    """As many shuffle partitions as the files below the paths ask for; adaptive plans put small ones together."""
+def partitions_for(spark: SparkSession, *paths: str, least: int = 1) -> Iterator[None]:
+    """As many shuffle partitions as the files below the paths ask for, ``least`` at least; adaptive plans put small ones together."""
     keys = {"spark.sql.adaptive.enabled": "true", "spark.sql.shuffle.partitions": None}
     before = {key: spark.conf.get(key) for key in keys}
-    found = (_file_system(spark, path) for path in paths)
+    found = (file_system(spark, path) for path in paths)
     needed = -(-sum(fs.getContentSummary(path).getLength() for path, fs in found) // PARTITION_BYTES)
     spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.shuffle.partitions", str(max(int(before["spark.sql.shuffle.partitions"]), needed)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(max(int(before["spark.sql.shuffle.partitions"]), needed, least)))
     try:
         yield
     finally:
@@ -100,7 +98,7 @@ class _Work:
 
     def clear(self) -> None:
         for path in (f"{self.new}/batch={self.id}", *(f"{self.states}/batch={n}" for n in complete(self.spark, self.states, "batch") if n < self.id)):
-            path, fs = _file_system(self.spark, path)
+            path, fs = file_system(self.spark, path)
             fs.delete(path, True)
 
 
@@ -140,7 +138,7 @@ def pair_streams(left: Side, right: Side, lower: timedelta, upper: timedelta, jo
         parts = {(n, when): rows.filter(F.col("_side") == number) for number, n in enumerate(sides)
                  for when, rows in (("new", came), ("old", late)) if rows is not None}
         rows_of = lambda df, n: df.select(f"{n}.*")
-        with _partitions_for(spark, *work.paths()):
+        with partitions_for(spark, *work.paths()):
             all_right = [rows_of(parts["r", when], "r") for when in ("new", "old") if ("r", when) in parts]
             pairs = join(rows_of(parts["l", "new"], "l"), reduce(DataFrame.unionByName, all_right))
             if late is not None and last_left is not None:
@@ -176,15 +174,15 @@ def sum_windows(rows: DataFrame, sums: WindowSums, delay: str, path: str, root:
         if work.done:
             return work.clear()
         spark, end = work.spark, F.col("window.end")
-        with _partitions_for(spark):
+        with partitions_for(spark, least=PER_INPUT * batch._jdf.queryExecution().toRdd().getNumPartitions()):
             came = work.put_down(sums.first(batch, "_beat").filter(end > _at(work.mark)))
         late = work.open()
         seen = came.agg(F.unix_millis(F.max("last"))).first()[0]
         mark = _at(work.move_on({} if seen is None else {0: seen}, [_millis(spark, delay)]))
-        with _partitions_for(spark, *work.paths()):
+        with partitions_for(spark, *work.paths()):
             held = came.filter(~F.col("_beat")).drop("_beat")
             held = held if late is None else sums.again(held.unionByName(late))
-            write_once(with_dt(sums.close(held.filter(end <= mark))), path, batch_id, "dt")
+            write_once(with_dt(sums.close(held.filter(end <= mark))).hint("rebalance", "dt"), path, batch_id, "dt")
             work.leave(held.filter(end > mark))
 
     return start(rows.writeStream.foreachBatch(write), checkpoint, **run)

@@ -2,7 +2,7 @@
 
 In one query over a union the slowest source holds the windows of all, and one that
 is years ahead of the others makes them late.  Here every source is a query with its
-own watermark and delay that appends partial sums of the windows it closes.  A merge
+own watermark and delay that appends partial sums of the windows it closes (``batched.sum_windows``).  A merge
 adds the partial sums up, day by day: what a batch of them touches is summed anew from
 the stored parts and replaced, so a batch that is run again changes nothing.
 
@@ -13,26 +13,27 @@ that its producer promises to have passed.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sinks.stats import stream_stats, with_dt
+from ..sinks.stats import save_stats
 from ..sinks.topics import start
+from .batched import WindowSums, partitions_for, sum_windows
 from .jobs import Stages
 
-DAY = "dt"
+DAY, BATCH = "dt", "batch"
 
 
 class MergedSources:
-    """``window_stats`` turns the rows of a source, watermarked on ``rt``, into partial statistics with a window
+    """``sums`` turns the rows of a source, with event time ``rt``, into partial statistics with a window
     start ``stt``; ``merge`` adds up partial statistics of all sources."""
 
-    def __init__(self, stages: Stages, name: str, window_stats: Callable[[DataFrame], DataFrame],
-                 merge: Callable[[DataFrame], DataFrame]) -> None:
-        self.stages, self.name, self.window_stats, self.merge = stages, name, window_stats, merge
-        self.parts: dict[str, DataFrame] = {}
+    def __init__(self, stages: Stages, name: str, sums: WindowSums, merge: Callable[[DataFrame], DataFrame]) -> None:
+        self.stages, self.name, self.sums, self.merge = stages, name, sums, merge
+        self.parts: dict[str, tuple[DataFrame, str]] = {}
 
     def _parts_path(self, source: str) -> str:
         return self.stages.path(f"{self.name}-parts/{source}")
@@ -45,13 +46,7 @@ class MergedSources:
         self.stages.make_folder(self._beats_path(source))
         beats = self.stages.session.readStream.schema("rt timestamp").parquet(self._beats_path(source))
         beats = beats.select(*[F.col("rt") if f.name == "rt" else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
-        both = rows.withColumn("_beat", F.lit(False)).unionByName(beats.withColumn("_beat", F.lit(True)))
-        timed = both.withWatermark("rt", delay)
-        # The condition needs the event time, so it stays above the watermark: beats move it and then go.
-        alive = timed.filter(F.when(F.col("_beat"), F.col("rt")).isNull())
-        # A batch without beats is planned without them.  Columns that may be NULL in every plan keep the state's schema the same.
-        alive = alive.select(*[F.when(F.col("rt").isNotNull(), F.col(c)).alias(c) if c != "rt" else F.col(c) for c in rows.columns])
-        self.parts[source] = self.window_stats(alive)
+        self.parts[source] = rows.withColumn("_beat", F.lit(False)).unionByName(beats.withColumn("_beat", F.lit(True))), delay
 
     def beat(self, source: str, time: str) -> None:
         """Nothing of this source is older than ``time`` any more."""
@@ -59,32 +54,31 @@ class MergedSources:
 
     def run(self) -> None:
         """One round: all sources side by side take in what there is, then the merge."""
-        queries = [stream_stats(part, self._parts_path(source), part.columns, self.stages.checkpoint(f"{self.name}-{source}"), once=True)
-                   for source, part in self.parts.items()]
+        queries = [sum_windows(rows, self.sums, delay, self._parts_path(source), self.stages.path(f"open/{self.name}-{source}"),
+                               self.stages.checkpoint(f"{self.name}-{source}"), once=True) for source, (rows, delay) in self.parts.items()]
         for query in queries:
             query.awaitTermination()
         self._merge()
 
     def _schema(self, source: str) -> T.StructType:
-        return T.StructType([*[T.StructField(f.name, f.dataType) for f in self.parts[source].schema.fields], T.StructField(DAY, T.IntegerType())])
+        rows = self.stages.session.createDataFrame([], self.parts[source][0].schema)
+        made = self.sums.close(self.sums.first(rows)).schema.fields
+        return T.StructType([*[T.StructField(f.name, f.dataType) for f in made], T.StructField(BATCH, T.IntegerType()), T.StructField(DAY, T.IntegerType())])
 
     def _merge(self) -> None:
-        s = self.stages.session
+        s, schemas = self.stages.session, {source: self._schema(source) for source in self.parts}
 
         def stored(reader) -> DataFrame:
-            out = None
-            for source in self.parts:
-                part = reader.schema(self._schema(source)).parquet(self._parts_path(source))
-                out = part if out is None else out.unionByName(part)
-            return out
+            return reduce(DataFrame.unionByName, [reader.schema(schemas[source]).parquet(self._parts_path(source)) for source in self.parts])
 
         def write(batch: DataFrame, batch_id: int) -> None:
             # Days of the calendar, not groups of the data.
             days = [r[0] for r in batch.select(DAY).distinct().toLocalIterator()]
             if days:
-                whole = self.merge(stored(batch.sparkSession.read).filter(F.col(DAY).isin(days)).drop(DAY))
-                with_dt(whole).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(
-                    self.stages.path(self.name))
+                spark = batch.sparkSession
+                with partitions_for(spark, *map(self._parts_path, self.parts)):
+                    whole = self.merge(stored(spark.read).filter(F.col(DAY).isin(days)).drop(BATCH, DAY))
+                    save_stats(whole, self.stages.path(self.name), whole.columns, "overwrite", partitionOverwriteMode="dynamic")
 
         for source in self.parts:
             self.stages.make_folder(self._parts_path(source))
@@ -96,5 +90,5 @@ class MergedSources:
         first = next(iter(self.parts))
         empty = self.stages.reader.createDataFrame([], self._schema(first))
         self.stages.make_folder(self.stages.path(self.name))
-        schema = T.StructType([*self.merge(empty.drop(DAY)).schema.fields, T.StructField(DAY, T.IntegerType())])
+        schema = T.StructType([*self.merge(empty.drop(BATCH, DAY)).schema.fields, T.StructField(DAY, T.IntegerType())])
         return self.stages.reader.read.schema(schema).parquet(self.stages.path(self.name))

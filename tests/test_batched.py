@@ -6,7 +6,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from rillmart.operators import joins
+from rillmart.operators import joins, stats
+from rillmart.plans import layers
 from rillmart.streaming import batched
 from rillmart.streaming.jobs import Stages
 
@@ -132,3 +133,74 @@ def test_wide_streams_keep_no_store(spark):
         left = spark.read.parquet(*map(str, root.glob(f"open/{topic}/state/batch=*")))
         assert left.count() <= 3  # the mark and the last rows
     assert stages.table("dwm_payment_wide").filter("order_id >= 0").count() > 0
+
+
+FAVOR = "sku_id bigint, create_at timestamp"
+REFUND = "order_id bigint, sku_id bigint, refund_amount decimal(16,2), create_at timestamp"
+
+
+def put(spark, stages, name, schema, *rows):
+    names = [c.split()[0] for c in schema.split(", ")]
+    texts = spark.createDataFrame([tuple(None if v is None else str(v) for v in (*r[:-1], at(r[-1]))) for r in rows], ", ".join(f"{n} string" for n in names))
+    kinds = dict(c.split() for c in schema.split(", "))
+    texts.select(*[F.col(n).cast(kinds[n]).alias(n) for n in names]).coalesce(1).write.mode("append").parquet(stages.path(f"in/{name}"))
+
+
+def stream(stages, name, schema):
+    stages.make_folder(stages.path(f"in/{name}"))
+    return stages.session.readStream.schema(schema).parquet(stages.path(f"in/{name}"))
+
+
+REFUNDS = [  # (order, SKU, amount, seconds): batches with orders that come again, stragglers and late rows
+    [(1, 7, 10, 5), (1, 7, 20, 9), (2, 7, 1, 25), (2, 8, 1, 25)],
+    [(2, 7, 5, 21), (3, 7, 1, 22), (9, 7, 100, 9), (4, None, 2, 44), (None, 7, 3, 26)],
+    [(2, 7, 1, 29), (5, 8, 4, 70)],
+    [(6, 8, 8, 59), (6, 8, 8, 61), (7, 8, 1, 400)],
+]
+
+
+def test_sums_over_batches_are_those_of_the_state_store(spark, stages):
+    """Windows that several batches add to: an order is counted once, late rows not at all, and open windows wait."""
+    merged = layers.product_sources(stages, "10 seconds", {"refunds": "3 seconds"}, refunds=stream(stages, "refunds", REFUND))
+    columns = ["stt", "sku_id", "refund_order_ct", "refund_amount", "ts"]
+    got = lambda df: sorted(map(tuple, df.select(*columns).collect()), key=str)
+    for batch, rows in enumerate(REFUNDS):
+        put(spark, stages, "refunds", REFUND, *rows)
+        merged.run()
+        stages.run("native", stats.product_stats(stats.product_rows(refunds=stream(stages, "refunds", REFUND)), "10 seconds", "3 seconds"))
+        assert got(merged.table()) == got(stages.table("native")) and merged.table().count() == (1, 3, 4, 6)[batch]
+    first = [r[:4] for r in got(merged.table()) if r[1] == 7]
+    assert [(r[2], float(r[3])) for r in first] == [(1, 30.0), (2, 10.0)]
+
+
+def test_sums_of_a_batch_that_is_run_again(spark, stages, monkeypatch):
+    """A job that dies after each thing it writes."""
+    merged, real = layers.product_sources(stages, "10 seconds", {}, favor=stream(stages, "favor", FAVOR)), batched.write_once
+    put(spark, stages, "favor", FAVOR, (1, 5), (1, 15))
+    merged.run()
+    put(spark, stages, "favor", FAVOR, (1, 16), (2, 40))
+    for after in ("/new", "-parts/favor", "/state"):
+        def once(rows, path, *more, after=after):
+            real(rows, path, *more)
+            if path.endswith(after):
+                raise RuntimeError("died")
+
+        monkeypatch.setattr(batched, "write_once", once)
+        with pytest.raises(Exception):
+            merged.run()
+    monkeypatch.setattr(batched, "write_once", real)
+    merged.beat("favor", "2021-01-01 00:00:00")
+    for _ in range(2):
+        merged.run()
+        assert sorted((r.stt, r.sku_id, r.favor_ct) for r in merged.table().collect()) == [(at(0), 1, 1), (at(10), 1, 2), (at(40), 2, 1)]
+
+
+def test_sources_of_sums_keep_no_store(spark, stages):
+    """What closed windows were made of is gone; no source has a state store."""
+    merged = layers.product_sources(stages, "10 seconds", {}, favor=stream(stages, "favor", FAVOR))
+    put(spark, stages, "favor", FAVOR, *[(i, i) for i in range(50)])
+    merged.beat("favor", "2021-01-01 00:00:00")
+    merged.run()
+    root = Path(stages.folder)
+    assert merged.table().count() == 50 and not list(root.glob("checkpoints/*favor/state*")) and not list(root.glob("open/*/new/batch=*"))
+    assert [r.mark for r in spark.read.parquet(*map(str, root.glob("open/*/state/batch=*"))).collect()] == [1609459198000]
