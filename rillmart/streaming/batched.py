@@ -34,18 +34,16 @@ from ..sinks.topics import start
 #: Partitions of a shuffle for each task that reads a batch, whose size is not known before.
 PER_INPUT = 4
 
-MARKS = "mark bigint, lasts array<bigint>"
-
 
 @contextmanager
 def partitions_for(spark: SparkSession, *paths: str, least: int = 1) -> Iterator[None]:
     """As many shuffle partitions as the files below the paths ask for, ``least`` at least; adaptive plans put small ones together."""
-    keys = {"spark.sql.adaptive.enabled": "true", "spark.sql.shuffle.partitions": None}
-    before = {key: spark.conf.get(key) for key in keys}
+    adaptive, partitions = "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions"
+    before = {key: spark.conf.get(key) for key in (adaptive, partitions)}
     found = (file_system(spark, path) for path in paths)
     needed = -(-sum(fs.getContentSummary(path).getLength() for path, fs in found) // PARTITION_BYTES)
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.shuffle.partitions", str(max(int(before["spark.sql.shuffle.partitions"]), needed, least)))
+    spark.conf.set(adaptive, "true")
+    spark.conf.set(partitions, str(max(int(before[partitions]), needed, least)))
     try:
         yield
     finally:
@@ -92,7 +90,8 @@ class _Work:
 
     def leave(self, rows: DataFrame) -> None:
         """Write the state after the batch; what it was made from goes."""
-        mark = self.spark.createDataFrame([(self.mark, self.lasts)], MARKS).coalesce(1)
+        lasts = F.array(*[F.lit(last).cast("bigint") for last in self.lasts])
+        mark = self.spark.range(0, 1, 1, 1).select(F.lit(self.mark).cast("bigint").alias("mark"), lasts.alias("lasts"))
         write_once(rows.unionByName(mark, allowMissingColumns=True), self.states, self.id)
         self.clear()
 

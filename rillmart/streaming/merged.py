@@ -25,6 +25,8 @@ from .batched import WindowSums, partitions_for, sum_windows
 from .jobs import Stages
 
 DAY, BATCH = "dt", "batch"
+#: Sources that run side by side; each is several stages of its own, whose plans the driver holds.
+AT_ONCE = 2
 
 
 class MergedSources:
@@ -53,10 +55,14 @@ class MergedSources:
         self.stages.session.range(1).select(F.lit(time).cast("timestamp").alias("rt")).write.mode("append").parquet(self._beats_path(source))
 
     def run(self) -> None:
-        """One round: all sources side by side take in what there is, then the merge."""
-        queries = [sum_windows(rows, self.sums, delay, self._parts_path(source), self.stages.path(f"open/{self.name}-{source}"),
-                               self.stages.checkpoint(f"{self.name}-{source}"), once=True) for source, (rows, delay) in self.parts.items()]
-        for query in queries:
+        """One round: all sources, a few side by side, take in what there is, then the merge."""
+        running = []
+        for source, (rows, delay) in self.parts.items():
+            if len(running) == AT_ONCE:
+                running.pop(0).awaitTermination()
+            running.append(sum_windows(rows, self.sums, delay, self._parts_path(source), self.stages.path(f"open/{self.name}-{source}"),
+                                       self.stages.checkpoint(f"{self.name}-{source}"), once=True))
+        for query in running:
             query.awaitTermination()
         self._merge()
 
